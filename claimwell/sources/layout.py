@@ -40,7 +40,7 @@ ZONES = {
 
 AUDIT = {
     "file_events": Zone("audit/file_events", S.FILE_EVENT),
-    "pipeline_runs": Zone("audit/pipeline_runs", S.PIPELINE_RUN),
+    "pipeline_runs": Zone("audit/pipeline_runs", S.PIPELINE_RUN, ("run_id",)),
     "arrival_decisions": Zone("audit/arrival_decisions", S.ARRIVAL_DECISION, ("run_id",)),
     "snapshots": Zone("audit/snapshots", S.SNAPSHOT),
     "source_systems": Zone("audit/source_systems", S.SOURCE_SYSTEM),
