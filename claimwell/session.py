@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even where that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Code tables of about 100,000 codes are broadcast; anything above this size is not.
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
     # '001', '835' and '20260312' must stay text when read back from a path.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # A write task meets few files, so it keeps their writers open side by side
