@@ -16,5 +16,10 @@ def total(amount: str) -> Column:
     return F.sum(amount).cast(MONEY_SUM)
 
 
+def mean_of(billed: Column, amounts: Column) -> Column:
+    """Mean in cents of a sum and its count; NULL where nothing was counted."""
+    return F.round(F.try_divide(billed, amounts), 2).cast(MONEY)
+
+
 def mean(amount: str) -> Column:
-    return F.round(F.sum(amount) / F.count(amount), 2).cast(MONEY)
+    return mean_of(F.sum(amount), F.count(amount))

@@ -53,7 +53,8 @@ def action_counts(decisions: DataFrame) -> DataFrame:
 def unregistered(arrivals: DataFrame, events: DataFrame, order: Sequence[Column]) -> DataFrame:
     """The first arrival of each valid file name that no event knows yet."""
     valid = arrivals.filter(valid_name(F.col("file_name")))
-    new = valid.join(events.select("file_name"), "file_name", "left_anti")
+    known = events.select("file_name").distinct()
+    new = valid.join(known, "file_name", "left_anti")
     return first_per_key(new, ["file_name"], order)
 
 

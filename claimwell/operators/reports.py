@@ -68,13 +68,17 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     uses as a scalar subquery.
     """
     x = df.select(F.col(column).cast("double").alias("x")).filter("x IS NOT NULL")
-    low = x.agg(F.min("x")).scalar()
-    high = x.agg(F.max("x")).scalar()
-    width = (high - low) / F.lit(bins)
-    place = F.when(high == low, F.lit(0)).otherwise(
-        F.least(F.floor(F.try_divide(F.col("x") - low, width)), F.lit(bins - 1))
+    ends = x.agg(F.struct(F.min("x").alias("low"), F.max("x").alias("high"))).scalar()
+    placed = x.withColumn("ends", ends).selectExpr(
+        "x",
+        "ends.low AS low",
+        "ends.high - ends.low AS span",
     )
-    return x.groupBy(place.cast("int").alias("bin")).agg(F.count("*").alias("members"))
+    last = F.lit(bins - 1)
+    place = F.floor(F.try_divide(F.col("x") - F.col("low"), F.col("span") / F.lit(bins)))
+    # No span, no division: all values are equal and share the first bin.
+    bin_of = F.coalesce(F.least(place, last), F.lit(0)).cast("int")
+    return placed.groupBy(bin_of.alias("bin")).agg(F.count("*").alias("members"))
 
 
 def category_volumes(payers: DataFrame) -> DataFrame:

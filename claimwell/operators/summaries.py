@@ -18,39 +18,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimwell.functions import money
-from claimwell.schemas import BILLED_BUCKETS, TOP_BUCKET
+from claimwell.schemas import BILLED_BUCKETS, MONEY_SUM, TOP_BUCKET
 
 
 def _distinct(column: str, approximate: bool) -> Column:
     return F.approx_count_distinct(column) if approximate else F.count_distinct(column)
 
 
-def _volume() -> list[Column]:
-    return [
-        F.count("claim_id").alias("total_claims"),
-        money.total("billed_amount").alias("total_billed"),
-        money.mean("billed_amount").alias("avg_billed"),
-    ]
-
-
 def _mean_age() -> Column:
     return F.round(F.avg("claim_age_days"), 1).alias("avg_claim_age_days")
 
 
-def _stamped(df: DataFrame, column: str, at: datetime | None) -> DataFrame:
-    return df if at is None else df.withColumn(column, F.lit(at))
+def _summary(
+    claims: DataFrame, keys: Sequence[str], figures: Sequence[Column], at_column: str, at: datetime | None
+) -> DataFrame:
+    """Claims, billed total and billed mean per key, and further figures.
+
+    Total and mean come from one decimal sum per group.
+    """
+    grouped = claims.groupBy(*keys).agg(
+        F.count("claim_id").alias("total_claims"),
+        F.sum("billed_amount").alias("_billed"),
+        F.count("billed_amount").alias("_amounts"),
+        *figures,
+    )
+    taken = {*keys, "total_claims", "_billed", "_amounts"}
+    others = [c for c in grouped.columns if c not in taken]
+    out = grouped.select(
+        *keys,
+        "total_claims",
+        F.col("_billed").cast(MONEY_SUM).alias("total_billed"),
+        money.mean_of(F.col("_billed"), F.col("_amounts")).alias("avg_billed"),
+        *others,
+    )
+    return out if at is None else out.withColumn(at_column, F.lit(at))
 
 
 def payer_category_summary(
     claims: DataFrame, by: Sequence[str] = (), at: datetime | None = None, approximate: bool = False
 ) -> DataFrame:
-    out = claims.groupBy(*by, "payer_id", "billed_category").agg(
-        *_volume(),
+    figures = [
         _mean_age(),
         _distinct("member_id_hash", approximate).alias("unique_members"),
         _distinct("cpt_code", approximate).alias("unique_cpt_codes"),
-    )
-    return _stamped(out, "summarized_at", at)
+    ]
+    return _summary(claims, [*by, "payer_id", "billed_category"], figures, "summarized_at", at)
 
 
 def cpt_summary(
@@ -62,49 +74,46 @@ def cpt_summary(
 ) -> DataFrame:
     """Per procedure code. A code has one description and category, so the code table is
     joined to the finished groups instead of to every claim."""
-    per_code = claims.groupBy(*by, "cpt_code").agg(
-        *_volume(),
+    figures = [
         _distinct("payer_id", approximate).alias("unique_payers"),
         _distinct("member_id_hash", approximate).alias("unique_members"),
-    )
+    ]
+    per_code = _summary(claims, [*by, "cpt_code"], figures, "summarized_at", at)
     described = cpt.select("cpt_code", "cpt_description", "cpt_category")
-    return _stamped(per_code.join(described, "cpt_code", "left"), "summarized_at", at)
+    return per_code.join(described, "cpt_code", "left")
 
 
 def member_summary(
     claims: DataFrame, by: Sequence[str] = (), at: datetime | None = None, approximate: bool = False
 ) -> DataFrame:
-    out = claims.groupBy(*by, "member_id_hash").agg(
-        *_volume(),
+    figures = [
         _distinct("provider_npi_hash", approximate).alias("unique_providers"),
         _distinct("payer_id", approximate).alias("unique_payers"),
         F.coalesce(F.bool_or("chronic_flag"), F.lit(False)).alias("has_chronic_condition"),
         F.max("service_date").alias("most_recent_service_date"),
-    )
-    return _stamped(out, "curated_at", at)
+    ]
+    return _summary(claims, [*by, "member_id_hash"], figures, "curated_at", at)
 
 
 def payer_summary(
     claims: DataFrame, by: Sequence[str] = (), at: datetime | None = None, approximate: bool = False
 ) -> DataFrame:
     buckets = [name for name, _ in BILLED_BUCKETS] + [TOP_BUCKET]
-    out = claims.groupBy(*by, "payer_id").agg(
-        *_volume(),
+    figures = [
         _distinct("member_id_hash", approximate).alias("unique_members"),
         _distinct("provider_npi_hash", approximate).alias("unique_providers"),
         _mean_age(),
         *[F.count_if(F.col("billed_category") == b).alias(f"{b.lower()}_claims") for b in buckets],
-    )
-    return _stamped(out, "curated_at", at)
+    ]
+    return _summary(claims, [*by, "payer_id"], figures, "curated_at", at)
 
 
 def provider_summary(
     claims: DataFrame, by: Sequence[str] = (), at: datetime | None = None, approximate: bool = False
 ) -> DataFrame:
-    out = claims.groupBy(*by, "provider_npi_hash").agg(
-        *_volume(),
+    figures = [
         _distinct("member_id_hash", approximate).alias("unique_members"),
         _distinct("payer_id", approximate).alias("unique_payers"),
         _distinct("cpt_code", approximate).alias("unique_cpt_codes"),
-    )
-    return _stamped(out, "curated_at", at)
+    ]
+    return _summary(claims, [*by, "provider_npi_hash"], figures, "curated_at", at)
