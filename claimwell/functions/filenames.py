@@ -25,13 +25,8 @@ def well_formed(name: Column) -> Column:
 
 
 def stem(name: Column) -> Column:
-    """The name without its last extension."""
-    return F.regexp_replace(name, r"[.][^.]*\z", "")
-
-
-def part(name: Column, position: int) -> Column:
-    """One of the five parts of a well-formed name, else NULL."""
-    return F.when(well_formed(name), F.get(F.split(stem(name), "_"), F.lit(position)))
+    """The name without its four characters of extension."""
+    return F.substring(name, F.lit(1), F.length(name) - 4)
 
 
 def real_date(digits: Column) -> Column:
@@ -39,46 +34,46 @@ def real_date(digits: Column) -> Column:
     return F.try_to_date(digits, "yyyyMMdd").isNotNull() & (F.substring(digits, 1, 4) != "0000")
 
 
-def valid_name(name: Column) -> Column:
-    return F.coalesce(well_formed(name) & real_date(part(name, 3)), F.lit(False))
+def _with_parts(df: DataFrame, name: str) -> DataFrame:
+    """`_parts`, the parts of a well-formed name, and `_dated`, whether its date exists.
 
+    Both are columns of their own, so that Spark works them out once per row.
+    """
+    parts = F.when(well_formed(F.col(name)), F.split(stem(F.col(name)), "_"))
+    dated = F.coalesce(real_date(F.get("_parts", F.lit(3))), F.lit(False))
+    return df.withColumn("_parts", parts).withColumn("_dated", dated)
 
-def reject_reason(name: Column) -> Column:
-    """Why a name is refused; NULL for a valid one."""
-    return F.when(
-        ~well_formed(name), F.concat(F.lit("Invalid filename: '"), name, F.lit("'"))
-    ).when(
-        ~F.coalesce(real_date(part(name, 3)), F.lit(False)),
-        F.concat(F.lit("Invalid date '"), part(name, 3), F.lit("' in filename '"), name, F.lit("'")),
-    )
+
+def _fields() -> dict[str, Column]:
+    return {key: F.when(F.col("_dated"), F.get("_parts", F.lit(i))) for i, key in enumerate(FILE_KEYS)}
 
 
 def with_file_fields(df: DataFrame, name: str = "file_name") -> DataFrame:
     """Add client_code, file_type, env, file_date and sequence; all NULL for a refused name."""
-    ok = valid_name(F.col(name))
-    fields = {key: F.when(ok, part(F.col(name), i)) for i, key in enumerate(FILE_KEYS)}
-    return df.withColumns(fields)
+    return _with_parts(df, name).withColumns(_fields()).drop("_parts", "_dated")
 
 
 def parse_names(df: DataFrame, name: str = "file_name") -> DataFrame:
     """Everything a file name says: fields, stem, partition key, PROD mark, reject reason."""
-    fields = with_file_fields(df, name)
-    return fields.withColumns(
+    given, date_part = F.col(name), F.get("_parts", F.lit(3))
+    quoted = F.concat(F.lit("'"), given, F.lit("'"))
+    reason = F.when(F.col("_parts").isNull(), F.concat(F.lit("Invalid filename: "), quoted)).when(
+        ~F.col("_dated"),
+        F.concat(F.lit("Invalid date '"), date_part, F.lit("' in filename "), quoted),
+    )
+    named = _with_parts(df, name).withColumns({**_fields(), "reject_reason": reason})
+    return named.withColumns(
         {
-            "stem": F.when(F.col("client_code").isNotNull(), stem(F.col(name))),
+            "stem": F.when(F.col("_dated"), stem(given)),
             "partition_key": partition_key(),
             "is_prod": F.col("env") == "PROD",
-            "reject_reason": reject_reason(F.col(name)),
         }
-    )
+    ).drop("_parts", "_dated")
 
 
 def partition_key() -> Column:
     """client/type/env/date_sequence of a parsed file, NULL for a refused name."""
     return F.concat(
-        F.concat_ws("/", "client_code", "file_type", "env"),
-        F.lit("/"),
-        F.col("file_date"),
-        F.lit("_"),
-        F.col("sequence"),
+        F.col("client_code"), F.lit("/"), F.col("file_type"), F.lit("/"), F.col("env"), F.lit("/"),
+        F.col("file_date"), F.lit("_"), F.col("sequence"),
     )

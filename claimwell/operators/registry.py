@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimwell.functions.filenames import parse_names, valid_name
+from claimwell.functions.filenames import parse_names, with_file_fields
 from claimwell.operators.dedupe import first_per_key
 from claimwell.schemas import CURATE_JOB
 
@@ -51,8 +51,8 @@ def action_counts(decisions: DataFrame) -> DataFrame:
 
 
 def unregistered(arrivals: DataFrame, events: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """The first arrival of each valid file name that no event knows yet."""
-    valid = arrivals.filter(valid_name(F.col("file_name")))
+    """The first arrival of each valid file name that no event knows yet, with its fields."""
+    valid = with_file_fields(arrivals).filter(F.col("client_code").isNotNull())
     known = events.select("file_name").distinct()
     new = valid.join(known, "file_name", "left_anti")
     return first_per_key(new, ["file_name"], order)

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimwell.functions.money import mean, total
-from claimwell.functions.quality import CLAIM_RULES, Rule, passes, with_amount
+from claimwell.functions.quality import CLAIM_RULES, RuleSet, passes, with_amount
 from claimwell.operators.registry import seconds_between
 from claimwell.schemas import BILLED_BUCKETS, CLEANSE_JOB, CURATE_JOB, TOP_BUCKET, TRANSFORM_JOB
 
@@ -74,11 +72,10 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
         "ends.low AS low",
         "ends.high - ends.low AS span",
     )
-    last = F.lit(bins - 1)
     place = F.floor(F.try_divide(F.col("x") - F.col("low"), F.col("span") / F.lit(bins)))
     # No span, no division: all values are equal and share the first bin.
-    bin_of = F.coalesce(F.least(place, last), F.lit(0)).cast("int")
-    return placed.groupBy(bin_of.alias("bin")).agg(F.count("*").alias("members"))
+    bin_of = F.when(F.col("span") == 0, F.lit(0)).otherwise(F.least(place, F.lit(bins - 1)))
+    return placed.groupBy(bin_of.cast("int").alias("bin")).agg(F.count("*").alias("members"))
 
 
 def category_volumes(payers: DataFrame) -> DataFrame:
@@ -97,7 +94,7 @@ def register_views(tables: dict[str, DataFrame]) -> None:
         table.createOrReplaceTempView(name)
 
 
-def stage_counts(claims: DataFrame, rules: Sequence[Rule] = CLAIM_RULES) -> DataFrame:
+def stage_counts(claims: DataFrame, rules: RuleSet = CLAIM_RULES) -> DataFrame:
     """Rows read, written and rejected by each stage, from one pass over the input claims.
 
     The curate stage writes one row per member, payer and provider of the clean claims.

@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 from claimwell.functions import filenames, masking, quality
 from claimwell.operators import compare, dedupe, enrich, registry, reports, summaries
-from claimwell.plans import run
-from claimwell.schemas import FILE_KEYS, RAW_CLAIM
+from claimwell.plans import run, stages
+from claimwell.schemas import RAW_CLAIM
 from claimwell.session import shared_folder
+from claimwell.sources import envelope
+from claimwell.sources.fixed_width import Field, parse_fixed_width
 from claimwell.sources.lake import Lake
 from claimwell.sources.sample_tables import SampleTables
 from claimwell.streaming import records
@@ -92,7 +94,7 @@ def q03_masked_claims(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def q04_claims_with_lineage(spark: SparkSession, folder: str) -> DataFrame:
     claims = SampleTables(spark, folder).claims_with_file()
-    known = claims.filter(filenames.valid_name(F.col("source_file")))
+    known = claims.filter("client_code IS NOT NULL")
     return _plain(masking.mask(quality.clean_rows(known)))
 
 
@@ -212,7 +214,7 @@ def q20_new_registrations(spark: SparkSession, folder: str) -> DataFrame:
     tables = SampleTables(spark, folder)
     order = [F.col("arrived_at"), F.col("arrival_id")]
     new = registry.unregistered(tables.arrivals(), tables.file_events(), order)
-    received = filenames.with_file_fields(new).withColumn("ingestion_status", F.lit("RECEIVED"))
+    received = new.withColumn("ingestion_status", F.lit("RECEIVED"))
     return received.withColumn("source_name", F.col("client_code"))
 
 
@@ -317,7 +319,8 @@ def q31_chronic_split(spark: SparkSession, folder: str) -> DataFrame:
 def q32_payer_summary_by_file(spark: SparkSession, folder: str) -> DataFrame:
     claims = SampleTables(spark, folder).claims_with_file().filter("client_code IS NOT NULL")
     claims = enrich.standardised(masking.mask(quality.clean_rows(claims)), AS_OF)
-    return _plain(summaries.payer_summary(claims, by=FILE_KEYS))
+    by_file = summaries.payer_summary(claims, by=["source_file"])
+    return _plain(filenames.with_file_fields(by_file, "source_file"))
 
 
 @registered
@@ -350,6 +353,56 @@ def q36_next_in_queue(spark: SparkSession, folder: str) -> DataFrame:
     return registry.next_in_queue(named)
 
 
+# ---- other forms of files ---------------------------------------------------------
+
+
+@registered
+def q41_envelope_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every eighth client states one row too many in its trailer."""
+    tables = SampleTables(spark, folder)
+    lines = tables.claims("o_custkey").selectExpr(
+        "concat('C', cast(o_custkey AS string)) AS source_file", "o_custkey",
+        "concat_ws(',', claim_id, member_id, provider_npi, payer_id, cpt_code) AS value",
+    )
+    stated = lines.groupBy("source_file", "o_custkey").agg(F.count("*").alias("n"))
+    marks = stated.selectExpr(
+        "source_file",
+        "inline(array(struct(concat('@HEADER|X|DELIMITER=,|ROW_COUNT=', cast(n AS string)) AS value),"
+        " struct('claim_id,member_id,provider_npi,payer_id,cpt_code' AS value),"
+        " struct(concat('@TRAILER|X|ROW_COUNT=', cast(n + if(o_custkey % 8 = 0, 1, 0) AS string),"
+        " '|CHECKSUM=0') AS value)))",
+    )
+    return envelope.envelope_counts(lines.select("source_file", "value").unionByName(marks))
+
+
+@registered
+def q42_fixed_width_claims(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean claims written at fixed places and read back."""
+    lines = _clean(SampleTables(spark, folder)).selectExpr(
+        "concat(rpad(claim_id, 24, ' '), lpad(member_id, 12, ' '), rpad(provider_npi, 12, ' '),"
+        " lpad(cast(cast(billed_amount * 100 AS bigint) AS string), 12, '0'),"
+        " coalesce(cast(place_of_service AS string), '  ')) AS value"
+    )
+    fields = [
+        Field("claim_id", 0, 24), Field("member_id", 24, 36), Field("provider_npi", 36, 48),
+        Field("billed_amount", 48, 60, scale=2), Field("place_of_service", 60, 62),
+    ]
+    return parse_fixed_width(lines, fields)
+
+
+@registered
+def q43_client_sql(spark: SparkSession, folder: str) -> DataFrame:
+    """One client has buckets of its own."""
+    claims = SampleTables(spark, folder).claims_with_file().filter("client_code IS NOT NULL")
+    claims = enrich.standardised(masking.mask(quality.clean_rows(claims)), AS_OF)
+    claims = claims.select("claim_id", "client_code", "billed_amount", "billed_category")
+    own = {
+        "BCBS001": "SELECT claim_id, client_code, billed_amount,"
+        " if(billed_amount < 300, 'LOW', 'HIGH') AS billed_category FROM {claims}"
+    }
+    return _plain(stages.with_client_sql(claims, own, lambda rest: rest))
+
+
 # ---- streams and a whole run ------------------------------------------------------
 
 

@@ -270,7 +270,7 @@ _BODIES = {
          from filed where ({_VALID}) is not true) group by 1, 2""",
     "q31_chronic_split": """select case when has_chronic_condition then 'Chronic' else 'Non-Chronic' end
         as label, count(*) as members from members group by 1""",
-    "q32_payer_summary_by_file": f"""select client_code, file_type, env, file_date, sequence, payer_id,
+    "q32_payer_summary_by_file": f"""select source_file, client_code, file_type, env, file_date, sequence, payer_id,
         {_volume()}, count(distinct member_id) as unique_members,
         count(distinct provider_npi) as unique_providers, {_AGE}, {_VOLUMES}
         from (select *, {_bucket()} as billed_category,
@@ -299,6 +299,17 @@ _BODIES = {
         from named where client_code is not null
         qualify row_number() over (partition by client_code, file_type
           order by file_date, sequence, env, file_name) = 1""",
+    "q41_envelope_counts": f"""select concat('C', cast(o_custkey as varchar)) as source_file,
+        count(*) as header_rows, count(*) as actual_rows,
+        count(*) + case when o_custkey % 8 = 0 then 1 else 0 end as trailer_rows,
+        o_custkey % 8 <> 0 as accepted from {_JOINED} group by o_custkey""",
+    "q42_fixed_width_claims": """select claim_id, member_id, provider_npi,
+        cast(billed_amount as varchar) as billed_amount,
+        cast(place_of_service as varchar) as place_of_service from clean""",
+    "q43_client_sql": f"""select claim_id, client_code, cast(billed_amount as double) as billed_amount,
+        case when client_code = 'BCBS001' and billed_amount < 300 then 'LOW'
+             when client_code = 'BCBS001' then 'HIGH' else {_bucket()} end as billed_category
+        from filed_keys where client_code is not null and {_VALID}""",
     "q37_stream_record_states": f"""select *, {_ERRORS} as validation_errors,
         case when {_VALID} then 'clean' else 'quarantine' end as record_state
         from (select {_AS_DOUBLE} from claims)""",

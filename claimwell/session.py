@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even where that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # HotSpot never compiles methods beyond 8000 bytes of bytecode. Wide summaries generate
+    # such methods; with this limit Spark runs them operator by operator instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Code tables of about 100,000 codes are broadcast; anything above this size is not.
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     # '001', '835' and '20260312' must stay text when read back from a path.

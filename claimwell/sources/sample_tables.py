@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from claimwell.functions.filenames import with_file_fields
+from claimwell.schemas import FILE_KEYS
 
 _PLACE = (
     "CASE l_linenumber WHEN 1 THEN 11 WHEN 2 THEN 21 WHEN 3 THEN 22 WHEN 4 THEN 23"
@@ -60,11 +61,24 @@ class SampleTables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def claims(self, *more: str, lines: DataFrame | None = None) -> DataFrame:
+    def spread(self, name: str, *keys: str) -> DataFrame:
+        """A table whose rows can be worked on by every core.
+
+        A scan with fewer tasks than cores (a small file is one task) is spread once, by keys
+        that no value dominates. A scan of a large table has more tasks and stays as it is.
+        """
+        rows = self.table(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return rows.repartition(cores, *keys) if rows.rdd.getNumPartitions() < cores else rows
+
+    def claims(
+        self, *more: str, lines: DataFrame | None = None, orders: DataFrame | None = None
+    ) -> DataFrame:
         """One claim per line item; `more` are further columns as SQL expressions. `lines`
-        may be a stream of the line items instead of the table."""
-        lines = self.table("lineitem") if lines is None else lines
-        orders = self.table("orders")
+        may be a stream of the line items, and `orders` may have further columns."""
+        if lines is None:
+            lines = self.spread("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+        orders = self.table("orders") if orders is None else orders
         customers = self.table("customer")
         joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
             customers, orders.o_custkey == customers.c_custkey
@@ -72,8 +86,15 @@ class SampleTables:
         return joined.selectExpr(*_CLAIM, *more)
 
     def claims_with_file(self) -> DataFrame:
-        """Claims with the name of the file they came in, and the fields of a valid name."""
-        return with_file_fields(self.claims(f"{_FILE_NAME} AS source_file"), "source_file")
+        """Claims with the name of the file they came in, and the fields of a valid name.
+
+        A name belongs to an order, so it is parsed there and not for every claim.
+        """
+        orders = self.table("orders").selectExpr(
+            "o_orderkey", "o_custkey", f"{_FILE_NAME} AS source_file"
+        )
+        named = with_file_fields(orders, "source_file")
+        return self.claims("source_file", *FILE_KEYS, orders=named)
 
     def cpt_codes(self) -> DataFrame:
         return self.table("part").selectExpr(
@@ -95,12 +116,12 @@ class SampleTables:
         )
 
     def arrivals(self) -> DataFrame:
-        return self.table("orders").selectExpr(
+        return self.spread("orders", "o_orderkey").selectExpr(
             "o_orderkey AS arrival_id", "o_orderdate AS arrived_at", f"{_FILE_NAME} AS file_name"
         )
 
     def file_events(self) -> DataFrame:
-        return self.table("events").selectExpr(
+        return self.spread("events", "event_id").selectExpr(
             "event_id",
             f"{_EVENT_FILE_NAME} AS file_name",
             "concat('BCBS', lpad(cast(user_id % 20 AS string), 3, '0')) AS client_code",
@@ -114,7 +135,7 @@ class SampleTables:
         )
 
     def runs(self) -> DataFrame:
-        return self.table("events").selectExpr(
+        return self.spread("events", "event_id").selectExpr(
             "event_id AS run_id",
             f"{_EVENT_FILE_NAME} AS file_name",
             "CASE event_id % 3 WHEN 0 THEN 'claims_cleanse_job' WHEN 1 THEN 'claims_transform_job'"
