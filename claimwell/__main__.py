@@ -35,6 +35,7 @@ def _parser() -> argparse.ArgumentParser:
     files.add_argument("--as-of", type=date.fromisoformat, help="day claim ages are counted to")
     files.add_argument("--delimiter", default=",", help="'auto' finds it out per file")
     files.add_argument("--force", action="store_true", help="process finished files again")
+    files.add_argument("--one-per-claim", action="store_true", help="one row per claim_id of a file")
     files.add_argument("--max-files", type=int, default=1000, help="files per micro-batch")
     arriving = commands.add_parser("ingest", parents=[files])
     arriving.add_argument("--every", help="go on with this interval, e.g. '30 seconds'")
@@ -75,7 +76,9 @@ def main(arguments: list[str] | None = None) -> None:
         REPORTS[given.name](lake).show(50, truncate=False)
         return
     codes = read_cpt_codes(spark, given.cpt), read_icd10_codes(spark, given.icd10)
-    settings = RunSettings(as_of=given.as_of, force=given.force, delimiter=given.delimiter)
+    settings = RunSettings(
+        as_of=given.as_of, force=given.force, delimiter=given.delimiter, one_per_claim=given.one_per_claim
+    )
     if given.command == "ingest":
         query = ingest(lake, given.inbound, *codes, settings, given.max_files, continuous_every=given.every)
         query.awaitTermination()

@@ -18,8 +18,15 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 
 
-def one_per_claim(claims: DataFrame, newest: Sequence[str] = ()) -> DataFrame:
-    """One row per claim_id: greatest in the `newest` columns, then least in all others."""
-    rest = [c for c, t in claims.dtypes if c not in newest and c != "claim_id" and not t.startswith("map")]
+def one_per_claim(
+    claims: DataFrame, newest: Sequence[str] = (), within: Sequence[str] = ()
+) -> DataFrame:
+    """One row per claim_id: greatest in the `newest` columns, then least in all others.
+
+    `within` are further keys, such as the file, inside which a claim may appear once.
+    """
+    keys = [*within, "claim_id"]
+    taken = {*newest, *keys}
+    rest = [c for c, kind in claims.dtypes if c not in taken and not kind.startswith("map")]
     order = [F.col(c).desc_nulls_last() for c in newest] + [F.col(c).asc_nulls_last() for c in rest]
-    return first_per_key(claims, ["claim_id"], order)
+    return first_per_key(claims, keys, order)

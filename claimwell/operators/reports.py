@@ -85,15 +85,6 @@ def category_volumes(payers: DataFrame) -> DataFrame:
     return named.unpivot(["payer_id"], names, "category", "claims")
 
 
-REGISTERED_VIEWS = ("member_summary", "payer_summary", "provider_summary", "file_registry", "pipeline_run")
-
-
-def register_views(tables: dict[str, DataFrame]) -> None:
-    """Offer stored tables to spark.sql under their names, audit and curated side by side."""
-    for name, table in tables.items():
-        table.createOrReplaceTempView(name)
-
-
 def stage_counts(claims: DataFrame, rules: RuleSet = CLAIM_RULES) -> DataFrame:
     """Rows read, written and rejected by each stage, from one pass over the input claims.
 

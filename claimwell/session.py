@@ -20,7 +20,7 @@ SETTINGS = {
     # such methods; with this limit Spark runs them operator by operator instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Code tables of about 100,000 codes are broadcast; anything above this size is not.
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
     # '001', '835' and '20260312' must stay text when read back from a path.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # A write task meets few files, so it keeps their writers open side by side
