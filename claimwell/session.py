@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Nothing here depends on the size of the data: AQE picks the number of reduce
@@ -42,14 +40,12 @@ def build_session(app: str = "claimwell", master: str | None = None, **extra: st
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables: `spark.checkpoint.dir` of the session.
+    """The folder for intermediate tables, which every executor reaches.
 
-    Where the setting is missing, a local session (tests, one machine) gets a new
-    temporary folder. A cluster gets an error, as its executors share no local disk.
+    It is `spark.checkpoint.dir` of the session, or a folder in the session's
+    warehouse where that setting is missing.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="claimwell-")
+    if not named:
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/claimwell-work"
+    return named.rstrip("/")
