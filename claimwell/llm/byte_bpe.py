@@ -6,6 +6,7 @@ import base64
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from claimwell.llm.common import int_lists, map_batches
 
 NEVER = 1 << 62
 #: Remembered units of a worker process; the memory is started anew beyond that.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 #: White space of the Unicode standard, which the split pattern means by its space class.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -107,26 +108,122 @@ class ByteBPE:
         self.ranks = ranks
         self.longest = max(map(len, ranks))
         self.known: dict[str, bytes] = {}
-
-    def encode_piece(self, piece: bytes) -> list[int]:
-        whole = self.ranks.get(piece)
-        if whole is not None:
-            return [whole]
-        return [self.ranks[p] for p in MergeTree(piece, self.ranks, self.longest).merged()]
-
-    def _unit(self, unit: str) -> bytes:
-        ids = [i for m in self.split(unit) for i in self.encode_piece(m.encode("utf-8"))]
-        if len(self.known) >= REMEMBERED:
+        self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        joins = sorted(
+            (ranks[token[:at]] << 32 | ranks[token[at:]], rank)
+            for token, rank in ranks.items()
+            for at in range(1, len(token))
+            if token[:at] in ranks and token[at:] in ranks
+        )
+        self.pairs, self.joined = np.array(joins, np.int64).reshape(-1, 2).T.copy()
+
+    def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the token that two tokens join to, NEVER if there is none."""
+        wanted = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == wanted, self.joined[at], NEVER >> 16)
+
+    def merge_many(self, pieces: list[bytes]) -> list[bytes]:
+        """Merges many short pieces side by side: one row of each array is the `MergeTree`
+        of one piece, and a step does the next merge of every piece that has one."""
+        n, lengths = len(pieces), np.array([len(p) for p in pieces])
+        width = 1 << int(lengths.max() - 1).bit_length()
+        ids = self.of_byte[np.frombuffer(b"".join([p.ljust(width, b"\0") for p in pieces]), np.uint8).reshape(n, width)]
+        places = np.arange(width)
+        alive = places < lengths[:, None]
+        after = np.broadcast_to(np.arange(1, width + 2), (n, width + 1)).copy()
+        before = np.broadcast_to(np.arange(-1, width), (n, width + 1)).copy()
+        tree = np.full((n, 2 * width), NEVER, np.int64)
+        ranks = np.where(alive[:, 1:], self.pair_ranks(ids[:, :-1], ids[:, 1:]), NEVER >> 16)
+        tree[:, width : 2 * width - 1] = ranks << 16 | places[:-1]
+        low = width
+        while low > 1:
+            low >>= 1
+            tree[:, low : 2 * low] = np.minimum(tree[:, 2 * low : 4 * low : 2], tree[:, 2 * low + 1 : 4 * low : 2])
+
+        def put(rows: np.ndarray, position: np.ndarray, value: np.ndarray | int) -> None:
+            node = position + width
+            tree[rows, node] = value
+            for _ in range(width.bit_length() - 1):
+                node = node >> 1
+                tree[rows, node] = np.minimum(tree[rows, 2 * node], tree[rows, 2 * node + 1])
+
+        def refresh(rows: np.ndarray, position: np.ndarray) -> None:
+            following = after[rows, position]
+            inside = following < lengths[rows]
+            rank = self.pair_ranks(ids[rows, position], ids[rows, np.where(inside, following, 0)])
+            put(rows, position, np.where(inside, rank, NEVER >> 16) << 16 | position)
+
+        rows = np.arange(n)
+        while True:
+            least = tree[rows, 1]
+            rows = rows[least < NEVER]
+            if not len(rows):
+                break
+            least = least[least < NEVER]
+            at = least & 0xFFFF
+            gone = after[rows, at]
+            end = after[rows, gone]
+            ids[rows, at] = least >> 16
+            alive[rows, gone] = False
+            after[rows, at] = end
+            before[rows, end] = at
+            put(rows, gone, NEVER)
+            refresh(rows, at)
+            earlier = before[rows, at]
+            refresh(rows[earlier >= 0], earlier[earlier >= 0])
+        packed = ids[alive].astype("<i4").tobytes()
+        ends = (4 * np.cumsum(alive.sum(1))).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+    def encode_pieces(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of distinct pieces, as 32-bit integers one after the other."""
+        found: dict[bytes, bytes] = {}
+        short: dict[int, list[bytes]] = {}
+        for piece in pieces:
+            whole = self.ranks.get(piece)
+            if whole is not None:
+                found[piece] = whole.to_bytes(4, "little")
+            elif len(piece) <= 64:
+                short.setdefault((len(piece) - 1).bit_length(), []).append(piece)
+            else:
+                parts = MergeTree(piece, self.ranks, self.longest).merged()
+                found[piece] = array("i", [self.ranks[p] for p in parts]).tobytes()
+        for same in short.values():
+            for begin in range(0, len(same), 8192):
+                block = same[begin : begin + 8192]
+                found |= zip(block, self.merge_many(block))
+        return found
+
+    def learn(self, units: list[str]) -> None:
+        if len(self.known) + len(units) > REMEMBERED:
             self.known.clear()
-        packed = array("i", ids).tobytes()
-        if len(unit) < 64:
-            self.known[unit] = packed
-        return packed
+        parts = [[m.encode("utf-8") for m in self.split(u)] for u in units]
+        found = self.encode_pieces(list(dict.fromkeys([p for x in parts for p in x])))
+        for unit, pieces in zip(units, parts):
+            self.known[unit] = found[pieces[0]] if len(pieces) == 1 else b"".join([found[p] for p in pieces])
+
+    def encode_many(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of each text as 32-bit integers; the new units of about a million
+        characters are encoded together."""
+        begin = 0
+        while begin < len(texts):
+            split, chars = [], 0
+            while begin + len(split) < len(texts) and chars < 1_000_000:
+                text = texts[begin + len(split)] or ""
+                chars += len(text)
+                split.append(self.units(text))
+            distinct = dict.fromkeys(u for x in split for u in x)
+            if len(self.known) + len(distinct) > REMEMBERED:
+                self.known.clear()
+            known = self.known
+            self.learn([u for u in distinct if u not in known])
+            for units in split:
+                yield b"".join([known[u] for u in units])
+            begin += len(split)
 
     def encode(self, text: str) -> bytes:
-        """Ids as 32-bit integers, one after the other."""
-        known = self.known
-        return b"".join([known.get(u) or self._unit(u) for u in self.units(text)])
+        return next(self.encode_many([text]))
 
 
 _ENCODERS: dict[tuple[str, str], ByteBPE] = {}
@@ -151,9 +248,9 @@ def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
     rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("body"))
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
-        encode = _encoder(vocabulary, pattern).encode
+        encode = _encoder(vocabulary, pattern).encode_many
         for b in batches:
-            yield {"key": b["key"], "ids": int_lists([encode(t) if t else b"" for t in b["body"]])}
+            yield {"key": b["key"], "ids": int_lists(list(encode(b["body"])))}
 
     kind = dict(rows.dtypes)["key"]
     return map_batches(rows, work, f"key {kind}, ids array<int>").withColumnRenamed("key", id_col)

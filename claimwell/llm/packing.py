@@ -19,7 +19,7 @@ SLIVER = 4
 #: Leftover windows of so many partitions meet in one task.
 MERGED_PARTITIONS = 64
 END_ID = 1
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 _TOKENIZERS: dict[str, "WordIds"] = {}
 
@@ -29,29 +29,68 @@ class WordIds:
 
     The file's normaliser and split pattern work inside stretches without spaces, tabs
     and line ends (they drop white space), so the ids of a text are those of its
-    stretches, one after the other.
+    stretches, one after the other. New words of plain letters, with or without marks
+    after them, go to the library many at a time: such a word has one or two parts, and
+    the last id of each part is one with a word end.
     """
 
     def __init__(self, path: str) -> None:
+        import re
+
+        import numpy as np
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        size = self.tokenizer.get_vocab_size()
+        self.ends_part = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        self.plain = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+([.,;:!?]*)").fullmatch
         self.known: dict[str, bytes] = {"": b""}
 
-    def ids(self, text: str) -> bytes:
-        from array import array
-
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                known[""] = b""
-                new = [w for w in dict.fromkeys(words) if w]
-            for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[word] = array("i", found.ids).tobytes()
-        return b"".join([known[w] for w in words])
+    def _learn(self, words: list[str]) -> None:
+        import numpy as np
+
+        known, joined, parts, others = self.known, [], [], []
+        for word in words:
+            if len(word) < 40 and (found := self.plain(word)):
+                joined.append(word)
+                parts.append(2 if found[1] else 1)
+            else:
+                others.append(word)
+        for begin in range(0, len(joined), 1000):
+            chunk, last = joined[begin : begin + 1000], np.cumsum(parts[begin : begin + 1000])
+            found = self.tokenizer.encode_batch_fast([" ".join(chunk)], add_special_tokens=False)
+            ids = np.array(found[0].ids, "<i4")
+            ends = np.flatnonzero(self.ends_part[ids]) + 1
+            if len(ends) == last[-1]:
+                packed, at = ids.tobytes(), 0
+                for word, end in zip(chunk, (4 * ends[last - 1]).tolist()):
+                    known[word] = packed[at:end]
+                    at = end
+            else:
+                others += chunk
+        if others:
+            for word, found in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
+                known[word] = np.array(found.ids, "<i4").tobytes()
+
+    def ids_of(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of each text as 32-bit integers; the new words of about a million characters
+        are learnt together."""
+        begin = 0
+        while begin < len(texts):
+            split, chars = [], 0
+            while begin + len(split) < len(texts) and chars < 1_000_000:
+                text = texts[begin + len(split)] or ""
+                chars += len(text)
+                split.append(text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))
+            distinct = dict.fromkeys(w for x in split for w in x)
+            if len(self.known) + len(distinct) > REMEMBERED:
+                self.known.clear()
+                self.known[""] = b""
+            known = self.known
+            self._learn([w for w in distinct if w not in known])
+            for words in split:
+                yield b"".join([known[w] for w in words])
+            begin += len(split)
 
 
 def word_ids(path: str) -> WordIds:
@@ -156,8 +195,8 @@ def pack(
         tokens, windows, given = word_ids(tokenizer), OpenWindows(window, open_windows, sliver), 0
         end = END_ID.to_bytes(4, "little")
         for b in batches:
-            for key, text in zip(b["key"], b["body"]):
-                ids = tokens.ids(text) + end if text else end
+            for key, found in zip(b["key"], tokens.ids_of(b["body"])):
+                ids = found + end
                 windows.put((key, len(ids) // 4), 0, ids)
                 if len(windows.full) >= 512:
                     yield _rows(windows.full, part << 32 | given)
