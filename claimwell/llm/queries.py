@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimwell.llm import byte_bpe, language_id, packing
+from claimwell.llm import byte_bpe, jaccard_trie, language_id, lz_fingerprint, packing, sharding
 from claimwell.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,23 @@ def registered(query: Query) -> Query:
     return query
 
 
+@registered
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 8 shards of nearly equal bytes.
+
+    The tree splits by language and length. The source is no dimension here: copies of a
+    text come from several sources, and a cut between sources would part them.
+    """
+    placed = sharding.kd_shards(documents(spark, sf_dir), ["lang", "n_chars"], shards=8)
+    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+@registered
+def op2_jaccard_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents that share most of their 5-word shingles."""
+    return jaccard_trie.jaccard_components(documents(spark, sf_dir))
+
+
 @registered
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 ids."""
@@ -60,3 +77,18 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@registered
+def op8_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    found = lz_fingerprint.fingerprints(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
