@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimwell.llm import byte_bpe, jaccard_trie, language_id, lz_fingerprint, packing, sharding
+from claimwell.llm import byte_bpe, ego_join, jaccard_trie, language_id, lz_fingerprint, packing, sharding
 from claimwell.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def op7_ego_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings with equal labels and a cosine of 0.98 or more."""
+    return ego_join.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @registered
 def op8_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
