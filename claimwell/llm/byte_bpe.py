@@ -14,7 +14,7 @@ from claimwell.llm.common import int_lists, map_batches
 
 NEVER = 1 << 62
 #: Remembered units of a worker process; the memory is started anew beyond that.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 #: White space of the Unicode standard, which the split pattern means by its space class.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -273,7 +273,9 @@ def bpe_decode(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_
             table[rank] = token
         for batch in batches:
             column = batch.column(1)
-            out = [b"".join([table[i] for i in x]) if x else b"" for x in column.to_pylist()]
+            ids, offsets = column.values.to_numpy(), column.offsets.to_pylist()
+            # one row at a time, as Python's integers take ten times the room
+            out = [b"".join([table[i] for i in ids[a:b].tolist()]) for a, b in zip(offsets, offsets[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), column, pa.array(out, pa.binary())], ["key", "ids", "decoded"])
 
     return rows.mapInArrow(work, f"key {kind}, ids array<int>, decoded binary").withColumnRenamed("key", id_col)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimwell.llm import byte_bpe, ego_join, jaccard_trie, language_id, lz_fingerprint, packing, sharding
+from claimwell.llm import byte_bpe, ego_join, jaccard_trie, language_id, lz_fingerprint, packing, sharding, suffix_dedup
 from claimwell.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,19 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 50-byte strings of smaller documents."""
+    found = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast(T.LongType()).alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @registered
 def op7_ego_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings with equal labels and a cosine of 0.98 or more."""
