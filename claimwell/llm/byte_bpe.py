@@ -14,7 +14,7 @@ from claimwell.llm.common import int_lists, map_batches
 
 NEVER = 1 << 62
 #: Remembered units of a worker process; the memory is started anew beyond that.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 #: White space of the Unicode standard, which the split pattern means by its space class.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -237,23 +237,49 @@ def _encoder(path: str, pattern: str) -> ByteBPE:
     return _ENCODERS[key]
 
 
-def bpe_encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+class Decoder:
+    """The bytes of each id of a vocabulary."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self.table = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.table[rank] = token
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        table = self.table
+        return b"".join([table[i] for i in ids.tolist()])
+
+
+def bpe_encode(
+    docs: DataFrame,
+    vocabulary: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    decoded: bool = False,
+) -> DataFrame:
     """(id, ids array<int>) of every whole text, one row per input row.
 
     `vocabulary` is the path of a rank file that every executor has. A NULL text is an
     empty one and gives an empty array; repeated and NULL ids stay as they are; other
     columns, whatever their names, are not read. Work is per row: no shuffle, and a text
-    is held by one task only.
+    is held by one task only. With `decoded`, the ids are decoded again in the same task
+    and the bytes come along as a column of that name.
     """
     rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("body"))
+    schema = f"key {dict(rows.dtypes)['key']}, ids array<int>" + ", decoded binary" * decoded
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
-        encode = _encoder(vocabulary, pattern).encode_many
+        encoder = _encoder(vocabulary, pattern)
+        decoder = Decoder(encoder.ranks) if decoded else None
         for b in batches:
-            yield {"key": b["key"], "ids": int_lists(list(encode(b["body"])))}
+            packed = list(encoder.encode_many(b["body"]))
+            out = {"key": b["key"], "ids": int_lists(packed)}
+            if decoder:
+                out["decoded"] = [decoder.decode(np.frombuffer(p, "<i4")) for p in packed]
+            yield out
 
-    kind = dict(rows.dtypes)["key"]
-    return map_batches(rows, work, f"key {kind}, ids array<int>").withColumnRenamed("key", id_col)
+    return map_batches(rows, work, schema).withColumnRenamed("key", id_col)
 
 
 def bpe_decode(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -264,18 +290,9 @@ def bpe_decode(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_
     rows = encoded.select(F.col(id_col).alias("key"), F.col(ids_col).alias("ids"))
     kind = dict(rows.dtypes)["key"]
 
-    def work(batches):
-        import pyarrow as pa
+    def work(batches: Iterator[dict]) -> Iterator[dict]:
+        decoder = Decoder(read_ranks(vocabulary))
+        for b in batches:
+            yield b | {"decoded": [decoder.decode(np.array(ids or [], np.int64)) for ids in b["ids"]]}
 
-        ranks = _encoder(vocabulary, ".").ranks
-        table = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            table[rank] = token
-        for batch in batches:
-            column = batch.column(1)
-            ids, offsets = column.values.to_numpy(), column.offsets.to_pylist()
-            # one row at a time, as Python's integers take ten times the room
-            out = [b"".join([table[i] for i in ids[a:b].tolist()]) for a, b in zip(offsets, offsets[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), column, pa.array(out, pa.binary())], ["key", "ids", "decoded"])
-
-    return rows.mapInArrow(work, f"key {kind}, ids array<int>, decoded binary").withColumnRenamed("key", id_col)
+    return map_batches(rows, work, f"key {kind}, ids array<int>, decoded binary").withColumnRenamed("key", id_col)

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from claimwell.session import shared_folder
 
 
+#: Rows of a batch that are Python objects at one time.
+ROWS = 512
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -33,7 +37,8 @@ def settle(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
 def map_batches(
     df: DataFrame, work: Callable[[Iterator[dict[str, list]]], Iterator[dict]], schema: str
 ) -> DataFrame:
-    """`mapInArrow` on columns: `work` gets each batch as lists by column and yields the same.
+    """`mapInArrow` on columns: `work` gets batches as lists by column and yields the same.
+    A batch has ROWS rows at most, whatever Spark hands over.
 
     Values that it yields may be lists, numpy arrays or Arrow arrays.
     """
@@ -44,7 +49,8 @@ def map_batches(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         types = to_arrow_schema(fields)
-        for out in work(b.to_pydict() for b in batches):
+        parts = (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS))
+        for out in work(p.to_pydict() for p in parts):
             arrays = [
                 out[f.name] if isinstance(out[f.name], pa.Array) else pa.array(out[f.name], f.type)
                 for f in types
@@ -54,6 +60,17 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def filter_batches(df: DataFrame, column: str, keep: Callable[[list], list[bool]]) -> DataFrame:
+    """The rows of `df` that `keep` says yes to, judged by one column, a batch at a time."""
+    at = df.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(keep(b.column(at).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def int_lists(parts: list[bytes]) -> pa.Array:
     """Little-endian 32-bit integers, one byte string per row, as an Arrow array of lists."""
     import numpy as np

@@ -9,7 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimwell.llm import byte_bpe, ego_join, jaccard_trie, language_id, lz_fingerprint, packing, sharding, suffix_dedup
+from claimwell.llm import (
+    byte_bpe,
+    ego_join,
+    jaccard_trie,
+    language_id,
+    licences,
+    lz_fingerprint,
+    packing,
+    sharding,
+    suffix_dedup,
+    weak_quality,
+)
 from claimwell.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,8 +81,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document, and what they decode to, as digests."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = byte_bpe.bpe_encode(documents(spark, sf_dir), vocabulary, public_tokenizers.PATTERN)
-    return byte_bpe.bpe_decode(encoded, vocabulary).select(
+    encoded = byte_bpe.bpe_encode(documents(spark, sf_dir), vocabulary, public_tokenizers.PATTERN, decoded=True)
+    return encoded.select(
         "doc_id",
         F.size("ids").cast(T.LongType()).alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
@@ -79,6 +90,13 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def op4_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes, posterior and score of every document, and whether it is kept."""
+    docs = documents(spark, sf_dir)
+    return weak_quality.classify(docs, weak_quality.fit(docs))
+
+
 @registered
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the 50-byte strings of smaller documents."""
@@ -92,6 +110,13 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph of every document that holds a licence notice, and its family."""
+    docs = documents(spark, sf_dir)
+    return licences.scan(docs, licences.fit(docs))
+
+
 @registered
 def op7_ego_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings with equal labels and a cosine of 0.98 or more."""
