@@ -35,10 +35,10 @@ def settle(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
 
 
 def map_batches(
-    df: DataFrame, work: Callable[[Iterator[dict[str, list]]], Iterator[dict]], schema: str
+    df: DataFrame, work: Callable[[Iterator[dict[str, list]]], Iterator[dict]], schema: str, rows: int = ROWS
 ) -> DataFrame:
     """`mapInArrow` on columns: `work` gets batches as lists by column and yields the same.
-    A batch has ROWS rows at most, whatever Spark hands over.
+    A batch has at most `rows` rows, whatever Spark hands over.
 
     Values that it yields may be lists, numpy arrays or Arrow arrays.
     """
@@ -49,7 +49,7 @@ def map_batches(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         types = to_arrow_schema(fields)
-        parts = (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS))
+        parts = (b.slice(at, rows) for b in batches for at in range(0, b.num_rows, rows))
         for out in work(p.to_pydict() for p in parts):
             arrays = [
                 out[f.name] if isinstance(out[f.name], pa.Array) else pa.array(out[f.name], f.type)

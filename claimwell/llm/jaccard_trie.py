@@ -16,8 +16,12 @@ SIMILARITY = 80
 #: The commonest shingles are ordered last; so many of them travel with the tasks (8 bytes each).
 COMMON = 16_384
 COMMON_FROM = 32
+#: Classes under a shingle that are counted pair by pair; more of them meet in tries at once.
+SMALL = 64
 #: Sets that meet in one trie at most; larger groups are met block by block.
 BLOCK = 1024
+#: Instead of a second block, for the bags of candidates and for the partners of one class.
+BAG, HUB = -1, -2
 REMEMBERED = 1_000_000
 
 _WORD_HASHES: dict[bytes, int] = {}
@@ -194,6 +198,7 @@ def jaccard_components(
     words: int = WORDS,
     similarity: int = SIMILARITY,
     common_from: int = COMMON_FROM,
+    small: int = SMALL,
     block: int = BLOCK,
 ) -> DataFrame:
     """(id, n_shingles, component_id) of every row: components of documents whose shingle
@@ -209,11 +214,13 @@ def jaccard_components(
        come last in the global order. The order decides how much work there is, not what
        is found.
     2. Each class is dealt out under the first shingles of its set: similar sets share
-       one. Shingles with one class end here.
-    3. Each class joins, under the rarest such shingle, a trie of at most `block` classes,
-       and finds links there.
-    4. Shingles whose classes are not all connected by now meet in tries again: large
-       groups as pairs of blocks, so that no pair is left out and no task gets a group.
+       one. Under a shingle with at most `small` classes, pairs of fitting sizes are
+       counted. A pair can be similar only if the first shingles that it shares (and all
+       that may be uncounted, under larger groups) make up for those behind them.
+    3. Such candidates form bags, and a bag joins a trie; so do classes under the rarest
+       of their larger groups, in blocks of `block`. A bag beyond that meets hub by hub.
+    4. Larger groups whose classes are not all connected by now meet again as pairs of
+       blocks, so that no pair is left out and no task gets a group.
 
     Links form a forest: pairs that are connected already are not compared.
     """
@@ -272,34 +279,58 @@ def jaccard_components(
                 yield {"token": _signed(np.concatenate(tokens)), "class": np.concatenate(classes), "n": np.concatenate(sizes)}
 
     def shared(batches: Iterator[dict]) -> Iterator[dict]:
-        """Members of shingles with two classes of fitting sizes; rows come by shingle and size.
+        """Counted pairs of small groups, and members of larger ones.
 
-        Neighbours decide, so a row is all that is carried from one batch to the next.
+        Rows come by shingle and size. At most `small` rows and the pairs of about a
+        million are held.
         """
-        last, fits = np.empty((3, 0), np.int64), False
+        held, counted, large = np.empty((3, 0), np.int64), PairCounts(similarity), None
         for b in batches:
-            now = np.concatenate([last, np.array([b["token"], b["n"], b["class"]], np.int64)], axis=1)
+            now = np.array([b["token"], b["n"], b["class"]], np.int64)
+            if large is not None:
+                more = int(np.searchsorted(now[0], large, "right"))
+                yield large_rows(now[:, :more])
+                now = now[:, more:]
+                if not now.shape[1]:
+                    continue
+                large = None
+            now = np.concatenate([held, now], axis=1)
             now = now[:, np.concatenate(([True], (now[:, 1:] != now[:, :-1]).any(0)))]
-            token, size, _ = now
-            near = (token[1:] == token[:-1]) & (100 * size[:-1] >= similarity * size[1:])
-            keep = np.append(near, False)
-            keep[1:] |= near
-            keep[0] |= fits
-            last, fits = now[:, -1:], bool(keep[-1])
-            yield members_of(now[:, :-1][:, keep[:-1]])
-        if fits:
-            yield members_of(last)
-
-    def members_of(rows: np.ndarray) -> dict:
-        return {"token": rows[0], "class": rows[2], "n": rows[1].astype(np.int32)}
+            last = int(np.searchsorted(now[0], now[0, -1]))
+            yield large_rows(counted.add(now[:, :last], small))
+            held = now[:, last:]
+            if held.shape[1] > small:
+                yield large_rows(held)
+                large, held = held[0, 0], held[:, :0]
+            if counted.size > 1_000_000:
+                yield counted.rows()
+        yield large_rows(counted.add(held, small))
+        yield counted.rows()
+
+    def large_rows(found: np.ndarray) -> dict:
+        none = [None] * found.shape[1]
+        return {"token": found[0], "a": found[2], "b": none, "na": found[1], "nb": none, "shared": none}
 
     dealt = map_batches(rows, deal, "token bigint, class bigint, n int")
-    by_token = dealt.repartition("token").sortWithinPartitions("token", "n", "class")
-    members = settle(map_batches(by_token.select("token", "class", "n"), shared, "token bigint, class bigint, n int"), "shingle-members")
+    by_token = dealt.repartition("token").sortWithinPartitions("token", "n", "class").select("token", "class", "n")
+    found = settle(
+        map_batches(by_token, shared, "token bigint, a bigint, b bigint, na bigint, nb bigint, shared bigint", 10_000),
+        "shingle-pairs",
+    )
+    large = found.where("token is not null").select("token", F.col("a").alias("class"))
+    uncounted = large.groupBy("class").agg(F.count("*").alias("extra"))
+    pairs = found.where("token is null").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("na").alias("na"), F.max("nb").alias("nb"))
+    for side in "ab":
+        pairs = pairs.join(uncounted.withColumnsRenamed({"class": side, "extra": f"extra_{side}"}), side, "left")
+    needed = F.expr(f"({similarity} * (na + nb) + {99 + similarity}) div {100 + similarity}")
+    behind = F.greatest(*[F.expr(f"({similarity} * {n} + 99) div 100 - 1") for n in ("na", "nb")])
+    most = F.col("shared") + F.least(*[F.coalesce(f"extra_{side}", F.lit(0)) for side in "ab"])
+    candidates = settle(pairs.where(most >= needed - behind).select("a", "b"), "shingle-candidates")
 
     # one row of a class, from which its set is made again
     classes = described.where("n > 0").groupBy("class").agg(F.min("key").alias("key"))
-    wanted = members.select("class").distinct().join(classes, "class").select(F.col("key").alias("wanted"))
+    live = candidates.select(F.explode(F.array("a", "b")).alias("class")).union(large.select("class")).distinct()
+    wanted = live.join(classes, "class").select(F.col("key").alias("wanted"))
 
     def again(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
@@ -309,18 +340,29 @@ def jaccard_components(
     chosen = rows.join(wanted, F.col("key").eqNullSafe(F.col("wanted")), "left_semi").select("body")
     sets = settle(map_batches(chosen, again, "class bigint, tokens binary"), "shingle-tries")
 
+    bag = components(candidates).withColumnsRenamed({"node": "class", "component": "token"})
+    number = F.ceil(F.count("*") / block).cast("int").alias("blocks")
+    bags = bag.groupBy("token").agg(number)
+    bagged = bag.join(bags.where("blocks = 1"), "token").select("class", "token", F.lit(0).alias("block"), F.lit(BAG).alias("other"))
+    # in a larger bag, a class meets its candidates, in parts of a block's size
+    in_large = candidates.join(bag.join(bags.where("blocks > 1"), "token").select(F.col("class").alias("a")), "a")
+    parts = in_large.join(in_large.groupBy("a").agg(number), "a")
+    parts = parts.select(F.col("a").alias("token"), "b", F.pmod(F.xxhash64("b"), "blocks").cast("int").alias("block"))
+    partners = parts.select(F.col("b").alias("class"), "token", "block", F.lit(HUB).alias("other"))
+    hubs = parts.select(F.col("token").alias("class"), "token", "block", F.lit(HUB).alias("other")).distinct()
+
     # common shingles are negative as signed numbers, and come last
     rarest = F.min(F.struct((F.col("token") < 0).alias("is_common"), "token"))["token"]
-    first = members.groupBy("class").agg(rarest.alias("token"))
-    sizes = first.groupBy("token").agg(F.ceil(F.count("*") / block).alias("blocks")).where("blocks > 1")
-    salted = first.join(sizes, "token", "left").select(
-        "class", "token", F.pmod(F.xxhash64("class"), F.coalesce("blocks", F.lit(1))).cast("int").alias("block")
+    first = large.groupBy("class").agg(rarest.alias("token"))
+    salted = first.join(first.groupBy("token").agg(number), "token").withColumn(
+        "block", F.pmod(F.xxhash64("class"), "blocks").cast("int")
     )
-    salted = salted.withColumns({"other": F.col("block"), "label": F.col("class")})
-    found = settle(_meet(salted, sets, similarity), "shingle-links")
-    label = components(found).withColumnsRenamed({"node": "class", "component": "label"})
+    salted = salted.select("class", "token", "block", F.col("block").alias("other"))
+    meetings = bagged.unionByName(partners).unionByName(hubs).unionByName(salted).withColumn("label", F.col("class"))
+    links = settle(_meet(meetings, sets, similarity), "shingle-links")
+    label = components(links).withColumnsRenamed({"node": "class", "component": "label"})
 
-    labelled = members.join(label, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    labelled = large.join(label, "class", "left").withColumn("label", F.coalesce("label", "class"))
     labelled = settle(labelled, "shingle-labels")
     mixed = labelled.groupBy("token").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.ceil(F.count("*") / block).cast("int").alias("blocks")
@@ -331,7 +373,7 @@ def jaccard_components(
         "class", "token", "label", F.least("own", "partner").alias("block"), F.greatest("own", "partner").alias("other")
     )
     more = _meet(met, sets, similarity)
-    label = components(found.unionByName(more)).withColumnsRenamed({"node": "class", "component": "label"})
+    label = components(links.unionByName(more)).withColumnsRenamed({"node": "class", "component": "label"})
 
     named = classes.join(label, "class", "left").select("class", "key", F.coalesce("label", "class").alias("label"))
     smallest = named.groupBy("label").agg(F.min("key").alias("component_id"))
@@ -343,6 +385,43 @@ def jaccard_components(
     )
 
 
+class PairCounts:
+    """How many shingles pairs of classes share, as far as counted."""
+
+    def __init__(self, similarity: int) -> None:
+        self.similarity = similarity
+        self.parts: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, rows: np.ndarray, small: int) -> np.ndarray:
+        """Count the pairs of whole groups of at most `small` rows (shingle, size, class),
+        sorted by shingle and size; gives back the rows of larger groups."""
+        token, size, name = rows
+        begin = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1]))) if len(token) else np.empty(0, np.int64)
+        width = np.diff(np.append(begin, len(token)))
+        for w in np.unique(width[(width > 1) & (width <= small)]).tolist():
+            place = begin[width == w][:, None] + np.arange(w)
+            left, right = np.triu_indices(w, 1)
+            left, right = place[:, left].ravel(), place[:, right].ravel()
+            fits = 100 * size[left] >= self.similarity * size[right]
+            left, right = left[fits], right[fits]
+            swap = name[left] > name[right]
+            left, right = np.where(swap, right, left), np.where(swap, left, right)
+            self.parts.append(np.array([name[left], name[right], size[left], size[right], np.ones(len(left), np.int64)]))
+            self.size += len(left)
+        return rows[:, np.repeat(width > small, width)]
+
+    def rows(self) -> dict:
+        """The counts so far, which are then forgotten."""
+        both = np.concatenate([np.empty((5, 0), np.int64), *self.parts], axis=1)
+        self.parts, self.size = [], 0
+        both = both[:, np.lexsort((both[1], both[0]))]
+        new = np.flatnonzero(np.concatenate(([True], (both[:2, 1:] != both[:2, :-1]).any(0)))) if both.shape[1] else []
+        shared = np.add.reduceat(both[4], new) if len(new) else []
+        a, b, na, nb, _ = both[:, new] if len(new) else both
+        return {"token": [None] * len(a), "a": a, "b": b, "na": na, "nb": nb, "shared": shared}
+
+
 def _meet(members: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """Links among the classes that meet under (token, block, other)."""
     met = members.join(sets, "class").select("token", "block", "other", "class", "label", "tokens")
