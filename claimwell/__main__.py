@@ -17,7 +17,7 @@ from claimwell.operators import registry, reports
 from claimwell.plans.run import RunSettings, preview, process_arrivals
 from claimwell.session import build_session
 from claimwell.sources.arrivals import list_arrivals
-from claimwell.sources.claims_csv import read_cpt_codes, read_icd10_codes
+from claimwell.sources.claims_csv import FileFormat, read_cpt_codes, read_icd10_codes
 from claimwell.sources.lake import Lake
 from claimwell.sources.layout import checkpoint_path
 from claimwell.streaming.arrivals import ingest
@@ -42,13 +42,15 @@ def _parser() -> argparse.ArgumentParser:
     left = commands.add_parser("recover", parents=[files])
     left.add_argument("--dry-run", action="store_true", help="only show what would be done")
     left.add_argument("--file-name", help="one file of the inbound folder")
+    left.add_argument("--out", help="write what a dry run finds as CSV files here")
     shown = commands.add_parser("report", parents=[lake])
     shown.add_argument("--name", choices=sorted(REPORTS), required=True)
+    shown.add_argument("--out", help="write the report as CSV files here instead of printing all of it")
     return parser
 
 
 def _files(lake: Lake) -> DataFrame:
-    return registry.latest_status(lake.audit("file_events"), at="event_at")
+    return registry.current_files(lake.audit("file_events"))
 
 
 REPORTS = {
@@ -68,16 +70,29 @@ REPORTS = {
 }
 
 
+def _give(rows: DataFrame, out: str | None) -> None:
+    """Write all rows as CSV to `out`, or print all of them, a partition at a time."""
+    if out:
+        rows.write.option("header", True).csv(out)
+        return
+    print("\t".join(rows.columns))
+    for row in rows.toLocalIterator():
+        print("\t".join("" if value is None else str(value) for value in row))
+
+
 def main(arguments: list[str] | None = None) -> None:
     given = _parser().parse_args(arguments)
     spark = build_session()
     lake = Lake(spark, given.lake)
     if given.command == "report":
-        REPORTS[given.name](lake).show(50, truncate=False)
+        _give(REPORTS[given.name](lake), given.out)
         return
     codes = read_cpt_codes(spark, given.cpt), read_icd10_codes(spark, given.icd10)
     settings = RunSettings(
-        as_of=given.as_of, force=given.force, delimiter=given.delimiter, one_per_claim=given.one_per_claim
+        as_of=given.as_of,
+        force=given.force,
+        formats=(FileFormat(delimiter=given.delimiter),),
+        one_per_claim=given.one_per_claim,
     )
     if given.command == "ingest":
         query = ingest(lake, given.inbound, *codes, settings, given.max_files, continuous_every=given.every)
@@ -87,8 +102,8 @@ def main(arguments: list[str] | None = None) -> None:
         arrivals = list_arrivals(spark, where)
         if given.dry_run:
             decided = preview(lake, arrivals, settings)
-            decided.select("file_name", "latest_status", "action", "reject_reason").show(1000, truncate=False)
-            registry.action_counts(decided).show()
+            _give(decided.select("file_name", "latest_status", "action", "reject_reason"), given.out)
+            _give(registry.action_counts(decided), None)
         else:
             process_arrivals(lake, arrivals, *codes, settings)
     else:

@@ -23,10 +23,15 @@ def one_per_claim(
 ) -> DataFrame:
     """One row per claim_id: greatest in the `newest` columns, then least in all others.
 
-    `within` are further keys, such as the file, inside which a claim may appear once.
+    `within` are further keys, such as the file, inside which a claim may appear once. Rows
+    without a claim_id cannot be told to be the same claim, so all of them stay.
     """
     keys = [*within, "claim_id"]
     taken = {*newest, *keys}
-    rest = [c for c, kind in claims.dtypes if c not in taken and not kind.startswith("map")]
-    order = [F.col(c).desc_nulls_last() for c in newest] + [F.col(c).asc_nulls_last() for c in rest]
-    return first_per_key(claims, keys, order)
+    order = [F.col(c).desc_nulls_last() for c in newest]
+    for name, kind in claims.dtypes:
+        if name not in taken:
+            value = F.to_json(F.array_sort(F.map_entries(name))) if kind.startswith("map") else F.col(name)
+            order.append(value.asc_nulls_last())
+    named = first_per_key(claims.where("claim_id IS NOT NULL"), keys, order)
+    return named.unionByName(claims.where("claim_id IS NULL"))

@@ -15,7 +15,7 @@ from claimwell.functions.filenames import parse_names, with_file_fields
 from claimwell.operators.dedupe import first_per_key
 from claimwell.schemas import CURATE_JOB
 
-TRIGGER, SKIP, INVALID = "TRIGGER", "SKIP", "INVALID"
+TRIGGER, SKIP, INVALID, DUPLICATE = "TRIGGER", "SKIP", "INVALID", "DUPLICATE"
 
 
 def latest_status(
@@ -26,13 +26,31 @@ def latest_status(
     return first_per_key(events, ["file_name"], newest_first)
 
 
+RECEIVED_FIELDS = (
+    "source_id", "bucket_name", "object_key", "file_size_bytes", "file_hash", "received_at",
+    "source_name", "client_code", "file_type", "env", "sequence",
+)
+STATUS_FIELDS = ("event_id", "ingestion_status", "processed_at", "error_message", "event_at")
+
+
+def current_files(events: DataFrame) -> DataFrame:
+    """The registry row of each file: what its first event says of the file itself, and the
+    status of its latest one. One aggregate with partial results."""
+    place = F.struct("event_at", "event_id")
+    first = F.min_by(F.struct(*RECEIVED_FIELDS), place).alias("first")
+    last = F.max_by(F.struct(*STATUS_FIELDS), place).alias("last")
+    return events.groupBy("file_name").agg(first, last).select("file_name", "first.*", "last.*")
+
+
 def decide(arrivals: DataFrame, events: DataFrame, force: bool = False, **latest: str) -> DataFrame:
     """Each arrival with its latest status and what to do with it.
 
     A refused name is INVALID (to be held), a file already CURATED is a SKIP unless forced,
     anything else is a TRIGGER.
     """
-    status = latest_status(events, **latest).select(
+    # only the history of the names that arrived is ranked
+    own = events.join(arrivals.select("file_name").distinct(), "file_name", "left_semi")
+    status = latest_status(own, **latest).select(
         "file_name", F.col("ingestion_status").alias("latest_status")
     )
     named = parse_names(arrivals)
@@ -46,6 +64,14 @@ def decide(arrivals: DataFrame, events: DataFrame, force: bool = False, **latest
     return known.withColumn("action", action)
 
 
+def without_copies(decisions: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Decisions in which the first arrival of a name is a TRIGGER and its copies, in other
+    folders, are DUPLICATEs."""
+    place = F.row_number().over(Window.partitionBy("file_name").orderBy(*order))
+    copy = (F.col("action") == TRIGGER) & (place > 1)
+    return decisions.withColumn("action", F.when(copy, F.lit(DUPLICATE)).otherwise(F.col("action")))
+
+
 def action_counts(decisions: DataFrame) -> DataFrame:
     return decisions.groupBy("action").agg(F.count("*").alias("files"))
 
@@ -53,7 +79,7 @@ def action_counts(decisions: DataFrame) -> DataFrame:
 def unregistered(arrivals: DataFrame, events: DataFrame, order: Sequence[Column]) -> DataFrame:
     """The first arrival of each valid file name that no event knows yet, with its fields."""
     valid = with_file_fields(arrivals).filter(F.col("client_code").isNotNull())
-    known = events.select("file_name").distinct()
+    known = events.select("file_name")
     new = valid.join(known, "file_name", "left_anti")
     return first_per_key(new, ["file_name"], order)
 

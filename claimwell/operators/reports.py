@@ -85,37 +85,7 @@ def category_volumes(payers: DataFrame) -> DataFrame:
     return named.unpivot(["payer_id"], names, "category", "claims")
 
 
-def stage_counts(claims: DataFrame, rules: RuleSet = CLAIM_RULES) -> DataFrame:
-    """Rows read, written and rejected by each stage, from one pass over the input claims.
-
-    The curate stage writes one row per member, payer and provider of the clean claims.
-    """
-    tested = with_amount(claims).withColumn("_clean", passes(rules))
-
-    def groups(column: str) -> Column:
-        """Distinct values among clean claims, NULL being one of them."""
-        values = F.count_distinct(F.when(F.col("_clean"), F.col(column)))
-        has_null = F.bool_or(F.col("_clean") & F.col(column).isNull())
-        return values + F.coalesce(has_null, F.lit(False)).cast("bigint")
-
-    counted = tested.agg(
-        F.count("*").alias("read"),
-        F.count_if("_clean").alias("clean"),
-        (groups("member_id") + groups("payer_id") + groups("provider_npi")).alias("curated"),
-    )
-    none = F.lit(0).cast("bigint")
-    stages = [
-        (CLEANSE_JOB, F.col("read"), F.col("clean"), F.col("read") - F.col("clean")),
-        (TRANSFORM_JOB, F.col("clean"), F.col("clean"), none),
-        (CURATE_JOB, F.col("clean"), F.col("curated"), none),
-    ]
-    rows = [
-        F.struct(
-            F.lit(job).alias("pipeline_name"),
-            read.alias("records_read"),
-            written.alias("records_written"),
-            rejected.alias("records_rejected"),
-        )
-        for job, read, written, rejected in stages
-    ]
-    return counted.select(F.inline(F.array(*rows)))
+def stage_counts(runs: DataFrame) -> DataFrame:
+    """Rows that each stage read, wrote and rejected, summed over its runs."""
+    counters = ("records_read", "records_written", "records_rejected")
+    return runs.groupBy("pipeline_name").agg(*[F.sum(c).alias(c) for c in counters])

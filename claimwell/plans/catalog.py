@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +18,10 @@ from claimwell.plans import run, stages
 from claimwell.schemas import RAW_CLAIM
 from claimwell.session import shared_folder
 from claimwell.sources import envelope
+from claimwell.sources.arrivals import list_arrivals
 from claimwell.sources.fixed_width import Field, parse_fixed_width
 from claimwell.sources.lake import Lake
+from claimwell.sources.landing import land_files
 from claimwell.sources.sample_tables import SampleTables
 from claimwell.streaming import records
 
@@ -234,7 +235,8 @@ def _lineage_columns(df: DataFrame) -> DataFrame:
 def q22_paired_lineage(spark: SparkSession, folder: str) -> DataFrame:
     tables = SampleTables(spark, folder)
     runs = tables.runs().drop("file_name")
-    pairs = registry.paired_lineage(tables.file_events(), runs, 20, file_tie="event_id")
+    files = registry.latest_status(tables.file_events())
+    pairs = registry.paired_lineage(files, runs, 20, file_tie="event_id")
     return _lineage_columns(pairs)
 
 
@@ -252,11 +254,11 @@ def q23_clients_over_both_sources(spark: SparkSession, folder: str) -> DataFrame
     files = registry.latest_status(tables.file_events())
     return spark.sql(
         """
-        SELECT c.client_code, c.total_claims, cast(c.total_billed AS double) AS total_billed,
-               f.files, f.curated_files
+        SELECT coalesce(c.client_code, f.client_code) AS client_code, c.total_claims,
+               cast(c.total_billed AS double) AS total_billed, f.files, f.curated_files
         FROM (SELECT client_code, count(claim_id) AS total_claims, sum(billed_amount) AS total_billed
               FROM {claims} GROUP BY client_code) c
-        JOIN (SELECT client_code, count(*) AS files,
+        FULL OUTER JOIN (SELECT client_code, count(*) AS files,
                      count_if(ingestion_status = 'CURATED') AS curated_files
               FROM {files} GROUP BY client_code) f
           ON c.client_code = f.client_code
@@ -284,7 +286,8 @@ def q25_category_volumes(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def q26_stage_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.stage_counts(SampleTables(spark, folder).claims())
+    """What the stages of a run counted, over all its files."""
+    return reports.stage_counts(_whole_run(spark, folder).audit("pipeline_runs"))
 
 
 @registered
@@ -294,7 +297,8 @@ def q27_one_per_claim(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def q28_newest_files(spark: SparkSession, folder: str) -> DataFrame:
-    return registry.newest_files(SampleTables(spark, folder).file_events(), 50, ("event_id",))
+    files = registry.latest_status(SampleTables(spark, folder).file_events())
+    return registry.newest_files(files, 50, ("event_id",))
 
 
 @registered
@@ -378,15 +382,14 @@ def q41_envelope_counts(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def q42_fixed_width_claims(spark: SparkSession, folder: str) -> DataFrame:
     """Clean claims written at fixed places and read back."""
-    lines = _clean(SampleTables(spark, folder)).selectExpr(
-        "concat(rpad(claim_id, 24, ' '), lpad(member_id, 12, ' '), rpad(provider_npi, 12, ' '),"
-        " lpad(cast(cast(billed_amount * 100 AS bigint) AS string), 12, '0'),"
-        " coalesce(cast(place_of_service AS string), '  ')) AS value"
-    )
     fields = [
-        Field("claim_id", 0, 24), Field("member_id", 24, 36), Field("provider_npi", 36, 48),
-        Field("billed_amount", 48, 60, scale=2), Field("place_of_service", 60, 62),
+        Field("claim_id", 0, 40), Field("member_id", 40, 60), Field("provider_npi", 60, 80),
+        Field("billed_amount", 80, 100, scale=2), Field("place_of_service", 100, 102),
     ]
+    sent = {"billed_amount": "cast(cast(billed_amount * 100 AS bigint) AS string)",
+            "place_of_service": "coalesce(cast(place_of_service AS string), '')"}
+    places = [field.placed(F.expr(sent.get(field.name, field.name))) for field in fields]
+    lines = _clean(SampleTables(spark, folder)).select(F.concat(*places).alias("value"))
     return parse_fixed_width(lines, fields)
 
 
@@ -432,15 +435,13 @@ def q37_stream_record_states(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def q38_stream_distinct_claims(spark: SparkSession, folder: str) -> DataFrame:
-    claims = _claims_of_stream(SampleTables(spark, folder)).filter("claim_id IS NOT NULL")
+    claims = _claims_of_stream(SampleTables(spark, folder))
     once = records.one_per_claim(claims, "arrived_at", "1 day")
     return spark.read.parquet(_finished(once.select("claim_id"), "distinct")).select("claim_id")
 
 
-@cache
 def _whole_run(spark: SparkSession, folder: str) -> Lake:
-    """All stages over the claims as texts, one file per client, into a new lake. The lake is
-    written once for the queries that look at it."""
+    """All stages over the claims as texts, one file per client, into a new lake."""
     tables = SampleTables(spark, folder)
     name = "concat('BCBS', lpad(cast(o_custkey % 20 AS string), 3, '0'), '_837P_PROD_20240131_001.csv')"
     raw = tables.claims(f"{name} AS source_file")
@@ -465,7 +466,48 @@ def q39_run_member_summaries(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def q40_run_audit(spark: SparkSession, folder: str) -> DataFrame:
-    runs = _whole_run(spark, folder).audit("pipeline_runs")
-    return runs.select(
-        "file_name", "pipeline_name", "run_status", "records_read", "records_written", "records_rejected"
+    """The stages of a run over each file, and where the file stands afterwards."""
+    lake = _whole_run(spark, folder)
+    files = registry.current_files(lake.audit("file_events")).select("file_name", "ingestion_status")
+    return lake.audit("pipeline_runs").join(files, "file_name").select(
+        "file_name", "pipeline_name", "run_status", "records_read", "records_written", "records_rejected",
+        "ingestion_status", (F.col("started_at") <= F.col("ended_at")).alias("times_in_order"),
+    )
+
+
+@registered
+def q44_claim_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Claims written as CSV files, one for each client, taken in by a run, and what became of
+    each line. Some ids begin with an @, some dates are none, some rows have a field too many."""
+    tables = SampleTables(spark, folder)
+    name = "concat('BCBS', lpad(cast(o_custkey % 20 AS string), 3, '0'), '_837P_PROD_20240131_001.csv')"
+    sent = {c: f"coalesce(cast({c} AS string), '')" for c in RAW_CLAIM.names}
+    sent["claim_id"] = "concat(if(l_suppkey % 7 = 0, '@', ''), coalesce(claim_id, ''))"
+    sent["service_date"] = "if(l_suppkey % 11 = 0, 'no date', cast(service_date AS string))"
+    claims = tables.claims("l_suppkey", f"{name} AS source_file")
+    more = "if(l_suppkey % 13 = 0, ',more', '')"
+    lines = claims.selectExpr("source_file", f"concat(concat_ws(',', {', '.join(sent.values())}), {more}) AS value")
+    inbound = f"{shared_folder(spark)}/inbound-{uuid4().hex[:8]}"
+    land_files(lines, ",".join(RAW_CLAIM.names), inbound)
+    lake = Lake(spark, f"{shared_folder(spark)}/lake-{uuid4().hex[:8]}")
+    run.process_arrivals(
+        lake, list_arrivals(spark, inbound), tables.cpt_codes(), tables.icd10_codes(), run.RunSettings(as_of=AS_OF)
+    )
+    clean = lake.clean_claims().select(
+        "source_file", "claim_id", F.col("billed_amount").cast("double").cast("string").alias("billed_amount"),
+        F.coalesce(F.col("service_date").cast("string"), F.col("extra")["service_date"]).alias("service_date"),
+        F.lit("").alias("validation_errors"),
+    )
+    rejected = lake.quarantined_claims().select(
+        "source_file", "claim_id", F.col("billed_amount").try_cast("double").cast("string").alias("billed_amount"),
+        "service_date", "validation_errors",
     )
+    both = clean.unionByName(rejected).withColumn("billed_amount", F.col("billed_amount").cast("double"))
+    return both
+
+
+@registered
+def q45_held_claims(spark: SparkSession, folder: str) -> DataFrame:
+    """Claims that wait because their file was refused for its name."""
+    claims = SampleTables(spark, folder).claims_with_file().filter("client_code IS NULL")
+    return _plain(claims.groupBy("source_file").agg(F.count("*").alias("held_claims"), F.sum("billed_amount").alias("held_billed")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+# The file types and environments a name may have.
 NAME_PATTERN = (
     "^[A-Z0-9]{3,10}_(837P|837I|835|MEMBER|PHARMACY|CROSSWALK)"
     "_(PROD|TEST|SYS1|SYS2|UAT1|UAT2)_[0-9]{8}_[0-9]{3}[.]csv$"
@@ -56,6 +57,18 @@ _ERRORS = """concat_ws(', ',
     case when billed_amount <= 0 then 'invalid billed_amount' end)"""
 
 
+_RUN_COUNTS = f"""with r as (select {_CLAIM_COLUMNS}, {_RUN_FILE} as file_name from {_JOINED}),
+        c as (select file_name, count(*) as n, count(*) filter (where {_VALID}) as ok,
+              count(distinct case when {_VALID} then member_id end)
+              + count(distinct case when {_VALID} then payer_id end)
+              + count(distinct case when {_VALID} then provider_npi end) as made
+              from r group by file_name)
+        select file_name, 'claims_cleanse_job' as pipeline_name, 'SUCCESS' as run_status,
+          n as records_read, ok as records_written, n - ok as records_rejected from c
+        union all select file_name, 'claims_transform_job', 'SUCCESS', ok, ok, 0 from c
+        union all select file_name, 'claims_curate_job', 'SUCCESS', ok, made, 0 from c"""
+
+
 def _file_fields(name: str) -> str:
     ok = (
         f"regexp_matches({name}, '{NAME_PATTERN}')"
@@ -233,15 +246,15 @@ _BODIES = {
           and file_name not in (select file_name from file_events)
         qualify row_number() over (partition by file_name order by arrived_at, arrival_id) = 1""",
     "q21_latest_status": "select * from latest",
-    "q22_paired_lineage": f"""select {_LINEAGE} from file_events f
+    "q22_paired_lineage": f"""select {_LINEAGE} from latest f
         join timed p on p.pipeline_name = 'claims_curate_job'
         order by f.received_at desc, f.event_id, p.run_id limit 20""",
     "q23_keyed_lineage": f"select {_LINEAGE} from latest f join timed p on p.file_name = f.file_name",
-    "q23_clients_over_both_sources": f"""select c.*, f.files, f.curated_files from
+    "q23_clients_over_both_sources": f"""select client_code, c.total_claims, c.total_billed, f.files, f.curated_files from
         (select client_code, count(claim_id) as total_claims,
                 cast(sum(billed_amount) as double) as total_billed
          from filed_keys where client_code is not null and {_VALID} group by client_code) c
-        join (select client_code, count(*) as files,
+        full outer join (select client_code, count(*) as files,
                 count(*) filter (where ingestion_status = 'CURATED') as curated_files
               from latest group by client_code) f using (client_code)""",
     "q24_billed_histogram": """select cast(case when hi = lo then 0
@@ -252,18 +265,14 @@ _BODIES = {
     "q25_category_volumes": """select payer_id, category, claims from
         (select payer_id, low_claims as LOW, medium_claims as MEDIUM, high_claims as HIGH from payers)
         unpivot (claims for category in (LOW, MEDIUM, HIGH))""",
-    "q26_stage_counts": f"""select 'claims_cleanse_job' as pipeline_name, count(*) as records_read,
-          count(*) filter (where {_VALID}) as records_written,
-          count(*) filter (where ({_VALID}) is not true) as records_rejected from claims
-        union all select 'claims_transform_job', count(*), count(*), 0 from clean
-        union all select 'claims_curate_job', (select count(*) from clean),
-          (select count(*) from members) + (select count(*) from payers)
-          + (select count(*) from providers), 0""",
+    "q26_stage_counts": f"""select pipeline_name, cast(sum(records_read) as bigint) as records_read,
+        cast(sum(records_written) as bigint) as records_written,
+        cast(sum(records_rejected) as bigint) as records_rejected from ({_RUN_COUNTS}) group by 1""",
     "q27_one_per_claim": f"""select {_AS_DOUBLE} from clean qualify row_number() over (partition by claim_id
         order by member_id nulls last, provider_npi nulls last, payer_id nulls last,
         cpt_code nulls last, icd10_code nulls last, place_of_service nulls last,
         billed_amount nulls last, service_date nulls last) = 1""",
-    "q28_newest_files": "select * from file_events order by received_at desc, event_id limit 50",
+    "q28_newest_files": "select * from latest order by received_at desc, event_id limit 50",
     "q29_newest_runs": "select * from timed order by started_at desc, run_id limit 50",
     "q30_quarantine_audit": f"""select source_file, validation_error, count(*) as rejected_claims from
         (select source_file, unnest(string_split({_ERRORS}, ', ')) as validation_error
@@ -313,7 +322,8 @@ _BODIES = {
     "q37_stream_record_states": f"""select *, {_ERRORS} as validation_errors,
         case when {_VALID} then 'clean' else 'quarantine' end as record_state
         from (select {_AS_DOUBLE} from claims)""",
-    "q38_stream_distinct_claims": "select distinct claim_id from claims where claim_id is not null",
+    "q38_stream_distinct_claims": """select distinct claim_id from claims where claim_id is not null
+        union all select claim_id from claims where claim_id is null""",
     "q39_run_member_summaries": f"""select concat('BCBS', lpad(cast(o % 20 as varchar), 3, '0')) as client_code,
         '837P' as file_type, 'PROD' as env, '20240131' as file_date, '001' as sequence,
         sha256(member_id) as member_id_hash, {_volume()},
@@ -322,16 +332,15 @@ _BODIES = {
         max(service_date) as most_recent_service_date
         from (select {_CLAIM_COLUMNS}, o_custkey as o from {_JOINED}) c
         left join icd10 on c.icd10_code = icd10.icd10_code where {_VALID} group by all""",
-    "q40_run_audit": f"""with r as (select {_CLAIM_COLUMNS}, {_RUN_FILE} as file_name from {_JOINED}),
-        c as (select file_name, count(*) as n, count(*) filter (where {_VALID}) as ok,
-              count(distinct case when {_VALID} then member_id end)
-              + count(distinct case when {_VALID} then payer_id end)
-              + count(distinct case when {_VALID} then provider_npi end) as made
-              from r group by file_name)
-        select file_name, 'claims_cleanse_job' as pipeline_name, 'SUCCESS' as run_status,
-          n as records_read, ok as records_written, n - ok as records_rejected from c
-        union all select file_name, 'claims_transform_job', 'SUCCESS', ok, ok, 0 from c
-        union all select file_name, 'claims_curate_job', 'SUCCESS', ok, made, 0 from c""",
+    "q40_run_audit": f"select *, 'CURATED' as ingestion_status, true as times_in_order from ({_RUN_COUNTS})",
+    "q44_claim_files": f"""select source_file, nullif(concat(case when s % 7 = 0 then '@' else '' end, coalesce(claim_id, '')), '') as claim_id,
+        cast(billed_amount as double) as billed_amount,
+        case when s % 11 = 0 then 'no date' else cast(service_date as varchar) end as service_date,
+        concat_ws(', ', nullif({_ERRORS.replace('claim_id is null', "claim_id is null and s % 7 <> 0")}, ''),
+          case when s % 13 = 0 then 'surplus fields' end) as validation_errors
+        from (select {_CLAIM_COLUMNS}, l_suppkey as s, {_RUN_FILE} as source_file from {_JOINED})""",
+    "q45_held_claims": """select source_file, count(*) as held_claims, cast(sum(billed_amount) as double) as held_billed
+        from filed_keys where client_code is null group by 1""",
 }
 
 

@@ -66,18 +66,6 @@ _TYPES["sent_claim"] = T.StructType(RAW_CLAIM.fields + _struct("extra texts").fi
 
 _FILE = "client_code string, file_type string, env string, file_date string, sequence string"
 
-CLEAN_CLAIM = _struct(
-    "claim_id string, member_id_hash string, provider_npi_hash string, payer_id string,"
-    "cpt_code string, icd10_code string, place_of_service int, billed_amount raw_money,"
-    "service_date date, extra texts, processed_at timestamp, source_file string," + _FILE
-)
-
-QUARANTINED_CLAIM = _struct(
-    "claim_id string, member_id string, provider_npi string, payer_id string, cpt_code string,"
-    "icd10_code string, place_of_service string, billed_amount string, service_date string,"
-    "extra texts, validation_errors string, source_file string," + _FILE
-)
-
 # Clean and rejected rows are written by one pass over the input: `raw` and
 # `validation_errors` are filled for rejected rows only, the rest for clean rows only.
 CHECKED_CLAIM = _struct(

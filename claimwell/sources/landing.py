@@ -1,0 +1,28 @@
+"""Files put into an inbound folder under names of their own."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def land_files(lines: DataFrame, header: str, folder: str) -> None:
+    """Write (source_file, value) rows as one text file for each name, with a header line.
+
+    Spark names its output files itself, so each is renamed when all are written. Only the
+    names of the files pass through the driver.
+    """
+    spark = lines.sparkSession
+    first = lines.select("source_file").distinct().select("source_file", F.lit(header).alias("value"), F.lit(0).alias("_part"))
+    rows = first.unionByName(lines.withColumn("_part", F.lit(1)))
+    written = f"{folder}/_written"
+    ordered = rows.repartition("source_file").sortWithinPartitions("source_file", "_part").drop("_part")
+    ordered.write.partitionBy("source_file").text(written)
+    jvm = spark.sparkContext._jvm
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(hadoop)
+    for row in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(written).select("path").collect():
+        name = row.path.split("source_file=")[1].split("/")[0]
+        files.rename(path(row.path), path(f"{folder}/{name}"))
+    files.delete(path(written), True)

@@ -46,12 +46,10 @@ AUDIT = {
     "source_systems": Zone("audit/source_systems", S.SOURCE_SYSTEM),
 }
 
-CLEAN, QUARANTINE = "clean", "quarantine"
-
+# The zones that are made of clean rows, and so have none of a file without them.
+LATER_ZONES = tuple(name for name in ZONES if name != "checked_claims")
 
-def scratch_path(root: str, label: str, user: str = "default") -> str:
-    """A throw-away workspace of a user, kept apart from every zone."""
-    return f"{root.rstrip('/')}/scratch/{user}/{label}"
+CLEAN, QUARANTINE = "clean", "quarantine"
 
 
 def checkpoint_path(root: str, label: str) -> str:

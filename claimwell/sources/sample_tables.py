@@ -61,23 +61,13 @@ class SampleTables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, name: str, *keys: str) -> DataFrame:
-        """A table whose rows can be worked on by every core.
-
-        A scan with fewer tasks than cores (a small file is one task) is spread once, by keys
-        that no value dominates. A scan of a large table has more tasks and stays as it is.
-        """
-        rows = self.table(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return rows.repartition(cores, *keys) if rows.rdd.getNumPartitions() < cores else rows
-
     def claims(
         self, *more: str, lines: DataFrame | None = None, orders: DataFrame | None = None
     ) -> DataFrame:
         """One claim per line item; `more` are further columns as SQL expressions. `lines`
         may be a stream of the line items, and `orders` may have further columns."""
         if lines is None:
-            lines = self.spread("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+            lines = self.table("lineitem")
         orders = self.table("orders") if orders is None else orders
         customers = self.table("customer")
         joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
@@ -116,12 +106,12 @@ class SampleTables:
         )
 
     def arrivals(self) -> DataFrame:
-        return self.spread("orders", "o_orderkey").selectExpr(
+        return self.table("orders").selectExpr(
             "o_orderkey AS arrival_id", "o_orderdate AS arrived_at", f"{_FILE_NAME} AS file_name"
         )
 
     def file_events(self) -> DataFrame:
-        return self.spread("events", "event_id").selectExpr(
+        return self.table("events").selectExpr(
             "event_id",
             f"{_EVENT_FILE_NAME} AS file_name",
             "concat('BCBS', lpad(cast(user_id % 20 AS string), 3, '0')) AS client_code",
@@ -135,7 +125,7 @@ class SampleTables:
         )
 
     def runs(self) -> DataFrame:
-        return self.spread("events", "event_id").selectExpr(
+        return self.table("events").selectExpr(
             "event_id AS run_id",
             f"{_EVENT_FILE_NAME} AS file_name",
             "CASE event_id % 3 WHEN 0 THEN 'claims_cleanse_job' WHEN 1 THEN 'claims_transform_job'"
