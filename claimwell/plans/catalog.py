@@ -442,6 +442,14 @@ def q38_stream_distinct_claims(spark: SparkSession, folder: str) -> DataFrame:
 
 def _whole_run(spark: SparkSession, folder: str) -> Lake:
     """All stages over the claims as texts, one file per client, into a new lake."""
+    lake = Lake(spark, f"{shared_folder(spark)}/lake-{uuid4().hex[:8]}")
+    _run_into(lake, folder, run.RunSettings(as_of=AS_OF))
+    return lake
+
+
+def _run_into(lake: Lake, folder: str, settings: run.RunSettings, spoilt: str | None = None) -> None:
+    """A run over the files of all clients, or of one whose rows all lack their ids."""
+    spark = lake.spark
     tables = SampleTables(spark, folder)
     name = "concat('BCBS', lpad(cast(o_custkey % 20 AS string), 3, '0'), '_837P_PROD_20240131_001.csv')"
     raw = tables.claims(f"{name} AS source_file")
@@ -451,11 +459,10 @@ def _whole_run(spark: SparkSession, folder: str) -> Lake:
         f"{name} AS file_name", "cast(NULL AS string) AS path", "cast(NULL AS bigint) AS file_size_bytes",
         "cast(NULL AS timestamp) AS modified_at",
     ).distinct()
-    lake = Lake(spark, f"{shared_folder(spark)}/lake-{uuid4().hex[:8]}")
-    run.process_claims(
-        lake, raw, files, tables.cpt_codes(), tables.icd10_codes(), run.RunSettings(as_of=AS_OF)
-    )
-    return lake
+    if spoilt:
+        raw = raw.filter(F.col("source_file").startswith(spoilt)).withColumn("claim_id", F.lit(None).cast("string"))
+        files = files.filter(F.col("file_name").startswith(spoilt))
+    run.process_claims(lake, raw, files, tables.cpt_codes(), tables.icd10_codes(), settings)
 
 
 @registered
@@ -511,3 +518,27 @@ def q45_held_claims(spark: SparkSession, folder: str) -> DataFrame:
     """Claims that wait because their file was refused for its name."""
     claims = SampleTables(spark, folder).claims_with_file().filter("client_code IS NULL")
     return _plain(claims.groupBy("source_file").agg(F.count("*").alias("held_claims"), F.sum("billed_amount").alias("held_billed")))
+
+
+@registered
+def q46_stored_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Payer summaries of a lake before and after a second run with wider amount buckets."""
+    lake = _whole_run(spark, folder)
+    before = lake.audit("snapshots").agg(F.max("published_at")).first()[0]
+    _run_into(lake, folder, run.RunSettings(as_of=AS_OF, buckets=WIDER_BUCKETS))
+    values = ["total_claims", "low_claims", "medium_claims", "high_claims"]
+    return compare.differences(
+        lake.current("payer_summary", as_of=before), lake.current("payer_summary"), ["client_code", "payer_id"], values
+    )
+
+
+@registered
+def q47_rerun_without_clean_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per file in three zones after one client's file came again with bad rows only."""
+    lake = _whole_run(spark, folder)
+    _run_into(lake, folder, run.RunSettings(as_of=AS_OF), spoilt="BCBS003")
+    zones = {"transformed_claims": "claims", "member_summary": "members", "payer_summary": "payers"}
+    files = registry.current_files(lake.audit("file_events")).select("client_code", "ingestion_status")
+    for zone, name in zones.items():
+        files = files.join(lake.current(zone).groupBy("client_code").agg(F.count("*").alias(name)), "client_code", "left")
+    return files.fillna(0, list(zones.values()))

@@ -339,6 +339,25 @@ _BODIES = {
         concat_ws(', ', nullif({_ERRORS.replace('claim_id is null', "claim_id is null and s % 7 <> 0")}, ''),
           case when s % 13 = 0 then 'surplus fields' end) as validation_errors
         from (select {_CLAIM_COLUMNS}, l_suppkey as s, {_RUN_FILE} as source_file from {_JOINED})""",
+    "q46_stored_versions": f"""select client_code, payer_id, 'changed' as change,
+        count(*) as total_claims_before, count(*) as total_claims_after,
+        count(*) filter (where b = 'LOW') as low_claims_before,
+        count(*) filter (where a = 'LOW') as low_claims_after,
+        count(*) filter (where b = 'MEDIUM') as medium_claims_before,
+        count(*) filter (where a = 'MEDIUM') as medium_claims_after,
+        count(*) filter (where b = 'HIGH') as high_claims_before,
+        count(*) filter (where a = 'HIGH') as high_claims_after
+        from (select split_part({_RUN_FILE}, '_', 1) as client_code, payer_id, {_bucket()} as b, {_bucket(250, 600)} as a
+              from (select {_CLAIM_COLUMNS}, o_custkey from {_JOINED}) where {_VALID}) group by client_code, payer_id
+        having low_claims_before <> low_claims_after or medium_claims_before <> medium_claims_after
+            or high_claims_before <> high_claims_after""",
+    "q47_rerun_without_clean_rows": f"""select client_code,
+        case when client_code = 'BCBS003' then 'FAILED' else 'CURATED' end as ingestion_status,
+        case when client_code = 'BCBS003' then 0 else n end as claims,
+        case when client_code = 'BCBS003' then 0 else m end as members,
+        case when client_code = 'BCBS003' then 0 else p end as payers
+        from (select split_part({_RUN_FILE}, '_', 1) as client_code, count(*) as n, count(distinct member_id) as m,
+              count(distinct payer_id) as p from (select {_CLAIM_COLUMNS}, o_custkey from {_JOINED}) where {_VALID} group by 1)""",
     "q45_held_claims": """select source_file, count(*) as held_claims, cast(sum(billed_amount) as double) as held_billed
         from filed_keys where client_code is null group by 1""",
 }
