@@ -124,37 +124,48 @@ def _overlap(probe: np.ndarray, edge: np.ndarray) -> int:
 
 
 def trie_links(
-    sets: list[np.ndarray], labels: list[int], probes: list[int], similarity: int = SIMILARITY
+    sets: list[np.ndarray],
+    labels: list[int],
+    probes: list[int],
+    similarity: int = SIMILARITY,
+    shared: list[int] | None = None,
 ) -> list[tuple[int, int]]:
     """Links (i, j) that join, as a forest, all sets that are connected by similar pairs.
 
     Only pairs of a set in `probes` with another set count. Sets of one label are known to
-    be connected. A probe walks the trie once, carrying its overlap with the shared edges;
-    it leaves a subtree whose sizes rule it out, whose remaining shingles are too few for
-    the overlap needed, or whose sets are all connected to the probe already.
+    be connected. `shared` bounds how many of its first shingles a set shares with any
+    other here. A probe walks the trie once, carrying its overlap with the shared edges; it
+    leaves a subtree whose remaining shingles are too few for the overlap needed, or in
+    which no set fits in size, may share enough first shingles, and is not connected to the
+    probe already.
     """
     trie = Trie(sets)
     place = {original: i for i, original in enumerate(trie.order)}
     label = np.unique([labels[i] for i in trie.order], return_inverse=True)[1]
+    behind = -(-similarity * trie.sizes // 100) - 1
+    bound = np.array([shared[i] for i in trie.order]) if shared else None
     tree = {}
     links = []
     for original in probes:
         at = place[original]
         probe, n = trie.sets[at], len(trie.sets[at])
-        stack = [(0, len(sets), 0, 0)]
+        open_ = (label != label[at]) & (100 * np.minimum(trie.sizes, n) >= similarity * np.maximum(trie.sizes, n))
+        if bound is not None:
+            needed = -(-similarity * (trie.sizes + n) // (100 + similarity)) - np.maximum(behind, behind[at])
+            open_ &= np.minimum(bound, bound[at]) >= needed
+        stack = [(0, len(sets), 0, 0)] if open_.any() else []
         while stack:
             low, high, depth, overlap = stack.pop()
             sizes = trie.sizes[low:high]
-            if (label[low:high] == label[at]).all():
+            if not (open_[low:high] & (label[low:high] != label[at])).any():
                 continue
             if (low, high) not in tree:
                 tree[low, high] = (*trie.children(low, high, depth), int(sizes.min()), int(sizes.max()))
             end, below, least, most = tree[low, high]
-            if 100 * most < similarity * n or similarity * least > 100 * n:
-                continue
             edge = trie.sets[low][depth:end]
-            # a long edge is looked at in two steps, as most probes end early in it
-            pieces = (edge[:48], edge[48:]) if len(edge) > 96 else (edge,)
+            # a long edge is looked at in two steps, as most probes end among its first shingles
+            first = max(16, most // 5 + 2 - depth)
+            pieces = (edge[:first], edge[first:])
             passed = depth
             for piece in pieces:
                 if not len(piece):
@@ -357,8 +368,11 @@ def jaccard_components(
     salted = first.join(first.groupBy("token").agg(number), "token").withColumn(
         "block", F.pmod(F.xxhash64("class"), "blocks").cast("int")
     )
-    salted = salted.select("class", "token", "block", F.col("block").alias("other"))
-    meetings = bagged.unionByName(partners).unionByName(hubs).unionByName(salted).withColumn("label", F.col("class"))
+    salted = salted.select("class", "token", "block", F.col("block").alias("other")).join(uncounted, "class")
+    # pairs that share a counted shingle are candidates if they can be similar, so in the larger
+    # groups only those are left that share nothing but shingles of larger groups
+    counted = bagged.unionByName(partners).unionByName(hubs).withColumn("extra", F.lit(None).cast("bigint"))
+    meetings = counted.unionByName(salted).withColumn("label", F.col("class"))
     links = settle(_meet(meetings, sets, similarity), "shingle-links")
     label = components(links).withColumnsRenamed({"node": "class", "component": "label"})
 
@@ -371,7 +385,7 @@ def jaccard_components(
     # a block meets itself and every other one
     met = unsettled.withColumn("partner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "class", "token", "label", F.least("own", "partner").alias("block"), F.greatest("own", "partner").alias("other")
-    )
+    ).join(uncounted, "class")
     more = _meet(met, sets, similarity)
     label = components(links.unionByName(more)).withColumnsRenamed({"node": "class", "component": "label"})
 
@@ -424,19 +438,20 @@ class PairCounts:
 
 def _meet(members: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """Links among the classes that meet under (token, block, other)."""
-    met = members.join(sets, "class").select("token", "block", "other", "class", "label", "tokens")
+    met = members.join(sets, "class").select("token", "block", "other", "class", "label", "extra", "tokens")
     met = met.repartition("token", "block", "other").sortWithinPartitions("token", "block", "other", "class")
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
-        held: dict[int, tuple[int, np.ndarray]] = {}
+        held: dict[int, tuple[int, int | None, np.ndarray]] = {}
         group = None
         for b in batches:
             ends: list[tuple[int, int]] = []
-            for *now, name, label, tokens in zip(b["token"], b["block"], b["other"], b["class"], b["label"], b["tokens"]):
+            columns = [b[c] for c in ("token", "block", "other", "class", "label", "extra", "tokens")]
+            for *now, name, label, extra, tokens in zip(*columns):
                 if now != group:
                     ends += _joined(held, similarity)
                     held, group = {}, now
-                held[name] = (label, np.frombuffer(tokens, ">u8").astype(np.uint64))
+                held[name] = (label, extra, np.frombuffer(tokens, ">u8").astype(np.uint64))
             if ends:
                 yield {"a": [a for a, _ in ends], "b": [b for _, b in ends]}
         if ends := _joined(held, similarity):
@@ -445,10 +460,11 @@ def _meet(members: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return map_batches(met, work, "a bigint, b bigint")
 
 
-def _joined(held: dict[int, tuple[int, np.ndarray]], similarity: int) -> list[tuple[int, int]]:
+def _joined(held: dict[int, tuple[int, int | None, np.ndarray]], similarity: int) -> list[tuple[int, int]]:
     if len(held) < 2:
         return []
     names = list(held)
-    sets = [held[n][1] for n in names]
-    found = trie_links(sets, [held[n][0] for n in names], range(len(names)), similarity)
+    labels, extras, sets = zip(*held.values())
+    shared = None if extras[0] is None else list(extras)
+    found = trie_links(list(sets), list(labels), range(len(names)), similarity, shared)
     return [(names[i], names[j]) for i, j in found]
