@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 from uuid import uuid4
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import claimwell
 from claimwell.session import shared_folder
 
 
@@ -20,6 +25,28 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the tasks' Python workers this package.
+
+    They import it by themselves where it lies in the working directory or on PYTHONPATH;
+    elsewhere it travels as a zip file, once for each application.
+    """
+    root = Path(claimwell.__file__).resolve().parents[1]
+    known = (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep))
+    context = spark.sparkContext
+    if str(root) in map(os.path.realpath, known) or context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    packed = f"{tempfile.mkdtemp(prefix='claimwell-')}/claimwell.zip"
+    with zipfile.ZipFile(packed, "w") as out:
+        for module in sorted((root / "claimwell").rglob("*.py")):
+            out.write(module, str(module.relative_to(root)))
+    context.addPyFile(packed)
+
+
 def settle(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write a table into the shared folder and read it back.
 
@@ -43,6 +70,7 @@ def map_batches(
     Values that it yields may be lists, numpy arrays or Arrow arrays.
     """
     spark = df.sparkSession
+    ship(spark)
     fields = spark.createDataFrame([], schema).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,6 +91,7 @@ def map_batches(
 def filter_batches(df: DataFrame, column: str, keep: Callable[[list], list[bool]]) -> DataFrame:
     """The rows of `df` that `keep` says yes to, judged by one column, a batch at a time."""
     at = df.columns.index(column)
+    ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
