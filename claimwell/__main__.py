@@ -39,6 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     files.add_argument("--max-files", type=int, default=1000, help="files per micro-batch")
     arriving = commands.add_parser("ingest", parents=[files])
     arriving.add_argument("--every", help="go on with this interval, e.g. '30 seconds'")
+    arriving.add_argument("--archive", help="move files that are done to this folder")
     left = commands.add_parser("recover", parents=[files])
     left.add_argument("--dry-run", action="store_true", help="only show what would be done")
     left.add_argument("--file-name", help="one file of the inbound folder")
@@ -95,7 +96,7 @@ def main(arguments: list[str] | None = None) -> None:
         one_per_claim=given.one_per_claim,
     )
     if given.command == "ingest":
-        query = ingest(lake, given.inbound, *codes, settings, given.max_files, continuous_every=given.every)
+        query = ingest(lake, given.inbound, *codes, settings, given.max_files, continuous_every=given.every, archive=given.archive)
         query.awaitTermination()
     elif given.dry_run or given.file_name:
         where = f"{given.inbound.rstrip('/')}/{given.file_name}" if given.file_name else given.inbound

@@ -24,9 +24,11 @@ def ingest(
     max_files: int = 1000,
     checkpoint: str | None = None,
     continuous_every: str | None = None,
+    archive: str | None = None,
 ) -> StreamingQuery:
     """Start the stream. By default it takes what is there and stops; with an interval such
-    as '30 seconds' it goes on. `max_files` bounds a micro-batch.
+    as '30 seconds' it goes on. `max_files` bounds a micro-batch. Files that are done move to
+    `archive`, if it is given, so that the inbound folder does not grow.
 
     A checkpoint of its own makes the stream look at every file again, which is how files
     left behind are recovered: those already CURATED are skipped unless `settings.force`.
@@ -35,7 +37,7 @@ def ingest(
         process_arrivals(lake, arrivals, cpt, icd10, settings)
 
     writer = (
-        stream_arrivals(lake.spark, folder, max_files)
+        stream_arrivals(lake.spark, folder, max_files, archive)
         .writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint or checkpoint_path(lake.root, "arrivals"))
     )
