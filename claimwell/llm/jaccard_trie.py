@@ -128,31 +128,23 @@ def trie_links(
     labels: list[int],
     probes: list[int],
     similarity: int = SIMILARITY,
-    shared: list[int] | None = None,
 ) -> list[tuple[int, int]]:
     """Links (i, j) that join, as a forest, all sets that are connected by similar pairs.
 
     Only pairs of a set in `probes` with another set count. Sets of one label are known to
-    be connected. `shared` bounds how many of its first shingles a set shares with any
-    other here. A probe walks the trie once, carrying its overlap with the shared edges; it
-    leaves a subtree whose remaining shingles are too few for the overlap needed, or in
-    which no set fits in size, may share enough first shingles, and is not connected to the
-    probe already.
+    be connected. A probe walks the trie once, carrying its overlap with the shared edges;
+    it leaves a subtree whose remaining shingles are too few for the overlap needed, or in
+    which no set fits in size and is not connected to the probe already.
     """
     trie = Trie(sets)
     place = {original: i for i, original in enumerate(trie.order)}
     label = np.unique([labels[i] for i in trie.order], return_inverse=True)[1]
-    behind = -(-similarity * trie.sizes // 100) - 1
-    bound = np.array([shared[i] for i in trie.order]) if shared else None
     tree = {}
     links = []
     for original in probes:
         at = place[original]
         probe, n = trie.sets[at], len(trie.sets[at])
         open_ = (label != label[at]) & (100 * np.minimum(trie.sizes, n) >= similarity * np.maximum(trie.sizes, n))
-        if bound is not None:
-            needed = -(-similarity * (trie.sizes + n) // (100 + similarity)) - np.maximum(behind, behind[at])
-            open_ &= np.minimum(bound, bound[at]) >= needed
         stack = [(0, len(sets), 0, 0)] if open_.any() else []
         while stack:
             low, high, depth, overlap = stack.pop()
@@ -231,7 +223,8 @@ def jaccard_components(
     3. Such candidates form bags, and a bag joins a trie; so do classes under the rarest
        of their larger groups, in blocks of `block`. A bag beyond that meets hub by hub.
     4. Larger groups whose classes are not all connected by now meet again as pairs of
-       blocks, so that no pair is left out and no task gets a group.
+       blocks, so that no pair is left out and no task gets a group. There, pairs are sifted
+       by the shingles of larger groups that they share, and what is left forms bags.
 
     Links form a forest: pairs that are connected already are not compared.
     """
@@ -351,16 +344,8 @@ def jaccard_components(
     chosen = rows.join(wanted, F.col("key").eqNullSafe(F.col("wanted")), "left_semi").select("body")
     sets = settle(map_batches(chosen, again, "class bigint, tokens binary"), "shingle-tries")
 
-    bag = components(candidates).withColumnsRenamed({"node": "class", "component": "token"})
     number = F.ceil(F.count("*") / block).cast("int").alias("blocks")
-    bags = bag.groupBy("token").agg(number)
-    bagged = bag.join(bags.where("blocks = 1"), "token").select("class", "token", F.lit(0).alias("block"), F.lit(BAG).alias("other"))
-    # in a larger bag, a class meets its candidates, in parts of a block's size
-    in_large = candidates.join(bag.join(bags.where("blocks > 1"), "token").select(F.col("class").alias("a")), "a")
-    parts = in_large.join(in_large.groupBy("a").agg(number), "a")
-    parts = parts.select(F.col("a").alias("token"), "b", F.pmod(F.xxhash64("b"), "blocks").cast("int").alias("block"))
-    partners = parts.select(F.col("b").alias("class"), "token", "block", F.lit(HUB).alias("other"))
-    hubs = parts.select(F.col("token").alias("class"), "token", "block", F.lit(HUB).alias("other")).distinct()
+    counted = _bags(candidates, block)
 
     # common shingles are negative as signed numbers, and come last
     rarest = F.min(F.struct((F.col("token") < 0).alias("is_common"), "token"))["token"]
@@ -368,25 +353,27 @@ def jaccard_components(
     salted = first.join(first.groupBy("token").agg(number), "token").withColumn(
         "block", F.pmod(F.xxhash64("class"), "blocks").cast("int")
     )
-    salted = salted.select("class", "token", "block", F.col("block").alias("other")).join(uncounted, "class")
-    # pairs that share a counted shingle are candidates if they can be similar, so in the larger
-    # groups only those are left that share nothing but shingles of larger groups
-    counted = bagged.unionByName(partners).unionByName(hubs).withColumn("extra", F.lit(None).cast("bigint"))
+    salted = salted.select("class", "token", "block", F.col("block").alias("other"))
     meetings = counted.unionByName(salted).withColumn("label", F.col("class"))
     links = settle(_meet(meetings, sets, similarity), "shingle-links")
     label = components(links).withColumnsRenamed({"node": "class", "component": "label"})
 
-    labelled = large.join(label, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    # pairs that share a counted shingle are candidates already if they can be similar, so in the
+    # larger groups only those are left that share nothing but shingles of larger groups
+    whole = found.where("token is not null").select("token", F.col("a").alias("class"), F.col("na").alias("n")).distinct()
+    lists = whole.groupBy("class").agg(F.collect_set("token").alias("shared"))
+    labelled = whole.join(label, "class", "left").withColumn("label", F.coalesce("label", "class"))
     labelled = settle(labelled, "shingle-labels")
-    mixed = labelled.groupBy("token").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.ceil(F.count("*") / block).cast("int").alias("blocks")
-    ).where("low <> high").select("token", "blocks")
+    halves = F.ceil(F.count("*") / max(1, block // 2)).cast("int").alias("blocks")
+    mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), halves)
+    mixed = mixed.where("low <> high").select("token", "blocks")
     unsettled = labelled.join(mixed, "token").withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     # a block meets itself and every other one
     met = unsettled.withColumn("partner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "class", "token", "label", F.least("own", "partner").alias("block"), F.greatest("own", "partner").alias("other")
-    ).join(uncounted, "class")
-    more = _meet(met, sets, similarity)
+        "class", "n", "token", "label", F.least("own", "partner").alias("block"), F.greatest("own", "partner").alias("other")
+    )
+    sifted = settle(_sift(met.join(lists, "class"), similarity).distinct(), "shingle-candidates")
+    more = _meet(_bags(sifted, block).withColumn("label", F.col("class")), sets, similarity)
     label = components(links.unionByName(more)).withColumnsRenamed({"node": "class", "component": "label"})
 
     named = classes.join(label, "class", "left").select("class", "key", F.coalesce("label", "class").alias("label"))
@@ -436,22 +423,82 @@ class PairCounts:
         return {"token": [None] * len(a), "a": a, "b": b, "na": na, "nb": nb, "shared": shared}
 
 
+def _bags(candidates: DataFrame, block: int) -> DataFrame:
+    """Where candidate pairs meet: (class, token, block, other), a bag of connected candidates
+    at once, and a larger bag's pairs in parts of a block's size under one of the two."""
+    number = F.ceil(F.count("*") / block).cast("int").alias("blocks")
+    bag = components(candidates).withColumnsRenamed({"node": "class", "component": "token"})
+    bags = bag.groupBy("token").agg(number)
+    bagged = bag.join(bags.where("blocks = 1"), "token").select("class", "token", F.lit(0).alias("block"), F.lit(BAG).alias("other"))
+    in_large = candidates.join(bag.join(bags.where("blocks > 1"), "token").select(F.col("class").alias("a")), "a")
+    parts = in_large.join(in_large.groupBy("a").agg(number), "a")
+    parts = parts.select(F.col("a").alias("token"), "b", F.pmod(F.xxhash64("b"), "blocks").cast("int").alias("block"))
+    partners = parts.select(F.col("b").alias("class"), "token", "block", F.lit(HUB).alias("other"))
+    hubs = parts.select(F.col("token").alias("class"), "token", "block", F.lit(HUB).alias("other")).distinct()
+    return bagged.unionByName(partners).unionByName(hubs)
+
+
+def _sift(members: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (a, b) that meet under (token, block, other), are not connected, fit in size, and
+    share enough of their first shingles, all of them shingles of larger groups. A pair is
+    given under the smallest shingle that it shares."""
+    met = members.select("token", "block", "other", "class", "n", "label", "shared")
+    met = met.repartition("token", "block", "other").sortWithinPartitions("token", "block", "other", "class")
+
+    def work(batches: Iterator[dict]) -> Iterator[dict]:
+        held: dict[int, tuple[int, int, list[int]]] = {}
+        group = None
+        for b in batches:
+            for *now, name, n, label, shared in zip(*[b[c] for c in ("token", "block", "other", "class", "n", "label", "shared")]):
+                if now != group:
+                    if held:
+                        yield _candidates(group[0], held, similarity)
+                    held, group = {}, now
+                held[name] = (n, label, shared)
+        if held:
+            yield _candidates(group[0], held, similarity)
+
+    return map_batches(met, work, "a bigint, b bigint")
+
+
+def _candidates(token: int, held: dict[int, tuple[int, int, list[int]]], similarity: int) -> dict:
+    names = np.array(list(held), np.int64)
+    size, label = (np.array(x, np.int64) for x in list(zip(*held.values()))[:2])
+    lists = [x for _, _, x in held.values()]
+    tokens = np.concatenate([np.array(x, np.int64) for x in lists])
+    owner = np.repeat(np.arange(len(names)), [len(x) for x in lists])
+    distinct, at, times = np.unique(tokens, return_inverse=True, return_counts=True)
+    several = times[at] > 1
+    distinct, at = np.unique(tokens[several], return_inverse=True)
+    has = np.zeros((len(names), len(distinct)), np.float32)
+    has[owner[several], at] = 1
+    place = int(np.searchsorted(distinct, token))
+    common = has[:, place:] @ has[:, place:].T
+    earlier = has[:, :place] @ has[:, :place].T
+    behind = -(-similarity * size // 100) - 1
+    needed = -(-similarity * (size[:, None] + size) // (100 + similarity)) - np.maximum(behind[:, None], behind)
+    fits = 100 * np.minimum(size[:, None], size) >= similarity * np.maximum(size[:, None], size)
+    wanted = fits & (common >= needed) & (earlier == 0) & (label[:, None] != label) & (names[:, None] < names)
+    a, b = np.nonzero(wanted)
+    return {"a": names[a], "b": names[b]}
+
+
 def _meet(members: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """Links among the classes that meet under (token, block, other)."""
-    met = members.join(sets, "class").select("token", "block", "other", "class", "label", "extra", "tokens")
+    met = members.join(sets, "class").select("token", "block", "other", "class", "label", "tokens")
     met = met.repartition("token", "block", "other").sortWithinPartitions("token", "block", "other", "class")
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
-        held: dict[int, tuple[int, int | None, np.ndarray]] = {}
+        held: dict[int, tuple[int, np.ndarray]] = {}
         group = None
         for b in batches:
             ends: list[tuple[int, int]] = []
-            columns = [b[c] for c in ("token", "block", "other", "class", "label", "extra", "tokens")]
-            for *now, name, label, extra, tokens in zip(*columns):
+            columns = [b[c] for c in ("token", "block", "other", "class", "label", "tokens")]
+            for *now, name, label, tokens in zip(*columns):
                 if now != group:
                     ends += _joined(held, similarity)
                     held, group = {}, now
-                held[name] = (label, extra, np.frombuffer(tokens, ">u8").astype(np.uint64))
+                held[name] = (label, np.frombuffer(tokens, ">u8").astype(np.uint64))
             if ends:
                 yield {"a": [a for a, _ in ends], "b": [b for _, b in ends]}
         if ends := _joined(held, similarity):
@@ -460,11 +507,10 @@ def _meet(members: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return map_batches(met, work, "a bigint, b bigint")
 
 
-def _joined(held: dict[int, tuple[int, int | None, np.ndarray]], similarity: int) -> list[tuple[int, int]]:
+def _joined(held: dict[int, tuple[int, np.ndarray]], similarity: int) -> list[tuple[int, int]]:
     if len(held) < 2:
         return []
     names = list(held)
-    labels, extras, sets = zip(*held.values())
-    shared = None if extras[0] is None else list(extras)
-    found = trie_links(list(sets), list(labels), range(len(names)), similarity, shared)
+    labels, sets = zip(*held.values())
+    found = trie_links(list(sets), list(labels), range(len(names)), similarity)
     return [(names[i], names[j]) for i, j in found]
