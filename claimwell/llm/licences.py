@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter
@@ -83,10 +84,13 @@ NONE, OTHER = "none", "unknown"
 NEGATIVES = 4000
 #: A family is confirmed where the paragraph holds this share of a template's words.
 CONFIRMED = 0.6
-#: An n-gram has to hold a word of this length that is rare in the corpus; such words are searched for.
+#: An n-gram has to hold a word of this length of a template; such words are searched for.
 ANCHOR = 5
+#: Words, at most, of short lines that are judged together as a notice of no listed family.
+JOINED = 40
 
 _WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
+_TEXT = re.compile(r"[^\W_]")
 
 
 def words(paragraph: str) -> list[str]:
@@ -98,6 +102,56 @@ def ngrams(paragraph: str) -> Counter:
     return Counter(" ".join(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1))
 
 
+def trigrams(paragraph: str) -> set[str]:
+    w = words(paragraph)
+    return {" ".join(w[i : i + 3]) for i in range(len(w) - 2) if any(len(x) >= ANCHOR for x in w[i : i + 3])}
+
+
+@dataclass(frozen=True)
+class Template:
+    """A wording of a family. Of its words, at least `least` long ones are in a confirmed
+    notice, and all of them within `reach` words."""
+
+    family: str
+    words: frozenset
+    pairs: frozenset
+    least: int
+    reach: int
+
+    @classmethod
+    def of(cls, family: str, text: str) -> Template:
+        w = words(text)
+        own = frozenset(w)
+        short = sum(len(x) < ANCHOR for x in own)
+        return cls(family, own, frozenset(zip(w, w[1:])), max(1, math.ceil(CONFIRMED * len(own)) - short), 2 * len(w) + 6)
+
+    def spans(self, text: list[str], least: float = CONFIRMED) -> Iterator[tuple[float, int, int]]:
+        """(share of the words, begin, end) of stretches that do not overlap, each the fullest
+        and then shortest one there."""
+        held: Counter = Counter()
+        places = [i for i, w in enumerate(text) if w in self.words]
+        left, best = 0, None
+        for at in places:
+            held[text[at]] += 1
+            while held[text[places[left]]] > 1 or at - places[left] >= self.reach:
+                held[text[places[left]]] -= 1
+                if not held[text[places[left]]]:
+                    del held[text[places[left]]]
+                left += 1
+            begin, share = places[left], len(held) / len(self.words)
+            if best and begin >= best[2]:
+                yield best
+                best = None
+            if share >= least and (best is None or (share, begin - at) > (best[0], best[1] - best[2] + 1)):
+                best = share, begin, at + 1
+        if best:
+            yield best
+
+    def shared(self, text: list[str]) -> int:
+        """Pairs of neighbours of the wording that are neighbours in the text."""
+        return len(self.pairs & set(zip(text, text[1:])))
+
+
 def _variants(paragraph: str, filler: list[str], draw: random.Random) -> Iterator[str]:
     """The paragraph itself, and with words lost or put around it."""
     yield paragraph
@@ -117,7 +171,7 @@ class LicenceModel:
     weights: np.ndarray
     heat: float
     anchors: list[str]
-    templates: dict[str, list[frozenset]] = field(default_factory=dict)
+    templates: list[Template] = field(default_factory=list)
 
     def chances(self, paragraph: str) -> np.ndarray:
         score = self.weights[-1].copy()
@@ -128,10 +182,9 @@ class LicenceModel:
         score = np.exp(score - score.max())
         return score / score.sum()
 
-    def nearest(self, paragraph: str, family: str) -> float:
-        """The largest share of a template's words that the paragraph holds."""
-        own = set(words(paragraph))
-        return max((len(t & own) / len(t) for t in self.templates.get(family, [])), default=0.0)
+    def nearest(self, text: list[str], family: str) -> float:
+        """The largest share of a template's words that a stretch of the text holds."""
+        return max((x[0] for t in self.templates if t.family == family for x in t.spans(text, 0)), default=0.0)
 
     def judge(self, paragraph: str) -> tuple[str, float, float] | None:
         """(family, probability, likeness to its template), None without a notice.
@@ -143,11 +196,120 @@ class LicenceModel:
         if by_class.get(NONE, 1.0) >= 0.5:
             return None
         family = max((c for c in self.classes if c != NONE), key=lambda c: by_class[c])
-        near = self.nearest(paragraph, family)
+        near = self.nearest(words(paragraph), family)
         if family == OTHER or near < CONFIRMED:
             return OTHER, 1 - by_class[NONE], near
         return family, by_class[family], near
 
+    def _confirmed(self, lines: list[list[str]], hits: list[set[str]]) -> list[tuple]:
+        """(judged, first, last) of lines that hold a confirmed notice, from the one with the
+        most neighbours of a template on; none overlaps another."""
+        sizes = np.cumsum([0, *map(len, lines)]).tolist()
+        found = []
+        for t in self.templates:
+            places = [(i, w) for i, own in enumerate(hits) for w in own if w in t.words]
+            held: Counter = Counter()
+            left, ranges = 0, []
+            for at, word in places:
+                held[word] += 1
+                while sizes[at] - sizes[min(places[left][0] + 1, at)] >= t.reach:
+                    held[places[left][1]] -= 1
+                    left += 1
+                if sum(n > 0 for n in held.values()) >= t.least:
+                    first, last = places[left][0], at
+                    while first and sizes[places[left][0]] - sizes[first - 1] <= t.reach:
+                        first -= 1
+                    while last + 1 < len(lines) and sizes[last + 2] - sizes[at + 1] <= t.reach:
+                        last += 1
+                    if ranges and first <= ranges[-1][1]:
+                        ranges[-1][1] = max(last, ranges[-1][1])
+                        ranges[-1][0] = min(first, ranges[-1][0])
+                    else:
+                        ranges.append([first, last])
+            for first, last in ranges:
+                text = [w for own in lines[first : last + 1] for w in own]
+                owner = [i for i in range(first, last + 1) for _ in lines[i]]
+                for share, begin, end in t.spans(text):
+                    while begin and (text[begin - 1], text[begin]) in t.pairs:
+                        begin -= 1
+                    while end < len(text) and (text[end - 1], text[end]) in t.pairs:
+                        end += 1
+                    own = text[begin:end]
+                    found.append((t.shared(own), owner[begin] - owner[end - 1], share, -owner[begin], t.family, " ".join(own)))
+        taken: set[int] = set()
+        out = []
+        for _, length, _, first, family, own in sorted(found, reverse=True):
+            first, last = -first, -first - length
+            if not taken.isdisjoint(range(first, last + 1)):
+                continue
+            if (judged := self.judge(own)) and judged[0] == family:
+                taken.update(range(first, last + 1))
+                out.append((judged, first, last))
+        return out
+
+    def _others(self, lines: list[str], sizes: list[int], hits: list[set[str]], free: list[bool]) -> Iterator[tuple]:
+        """(judged, first, last) of the other notices among the free lines.
+
+        Lines are judged alone, and short ones with those after them, which join where that
+        halves the doubt; touching unknown ones are one notice.
+        """
+        ranges = []
+        for i, own in enumerate(hits):
+            if not own or not free[i]:
+                continue
+            best, last, size = self.judge(lines[i]), i, sizes[i]
+            for j in range(i + 1, len(lines)):
+                size += sizes[j]
+                if size > JOINED or not free[j] or (best and best[0] != OTHER):
+                    break
+                if hits[j] and (x := self.judge(" ".join(lines[i : j + 1]))):
+                    if best is None or 1 - x[1] < (1 - best[1]) / 2:
+                        best, last = x, j
+            if best:
+                ranges.append((i, last, best))
+        now = None
+        for first, last, x in sorted(ranges, key=lambda r: r[:2]):
+            if now and first <= now[2] + 1 and x[0] == now[0][0] == OTHER:
+                now = max(now[0], x, key=lambda y: y[1]), now[1], max(now[2], last)
+            else:
+                if now:
+                    yield now
+                now = x, first, last
+        if now:
+            yield now
+
+    def notices(self, text: str, search) -> list[tuple]:
+        """(first line, begin, end, family, probability, likeness) of each notice of a text.
+
+        A notice is one or more lines without a blank one between them; `search` finds the
+        anchors.
+        """
+        found: list[tuple] = []
+        block: list[tuple] = []
+
+        def close() -> None:
+            hits = [b[3] for b in block]
+            if any(hits):
+                lines = [b[2] for b in block]
+                split = [words(x) for x in lines]
+                known = self._confirmed(split, hits)
+                free = [True] * len(lines)
+                for _, first, last in known:
+                    free[first : last + 1] = [False] * (last + 1 - first)
+                for judged, first, last in [*known, *self._others(lines, list(map(len, split)), hits, free)]:
+                    found.append((block[first][0], block[first][1], block[last][1] + len(lines[last]), *judged))
+            block.clear()
+
+        begin = 0
+        for number, line in enumerate(text.split("\n")):
+            if _TEXT.search(line):
+                block.append((number, begin, line, {w for _, w in search.iter(line.lower())}))
+            else:
+                close()
+            begin += len(line) + 1
+        close()
+        return sorted(found)
+
 
 def _softmax_fit(x: np.ndarray, y: np.ndarray, k: int, rounds: int = 400) -> np.ndarray:
     weights, seen = np.zeros((x.shape[1], k)), np.full((x.shape[1], k), 1e-12)
@@ -167,23 +329,24 @@ def _softmax_fit(x: np.ndarray, y: np.ndarray, k: int, rounds: int = 400) -> np.
 def train(negatives: list[str], seed: int = 7) -> LicenceModel:
     """Fit on variants of the templates, of notices of no family, and on ordinary lines.
 
-    N-grams without a word of ANCHOR letters that is rare in the ordinary lines are left
-    out. A fifth of the examples sets the heat that makes probabilities fit. Ordinary
-    lines that hold most of a template are left out as well.
+    N-grams without a word of ANCHOR letters of a template are left out, however common the
+    word is in the corpus. A fifth of the examples sets the heat that makes probabilities
+    fit. Ordinary lines that hold most of a template, or three of its words in a row as the
+    lines of a wrapped notice do, are left out as well.
     """
-    templates = {f: [frozenset(words(t)) for t in texts] for f, texts in TEMPLATES.items()}
-    every = [t for own in templates.values() for t in own]
-    plain = [n for n in negatives if not any(len(t & set(words(n))) >= CONFIRMED * len(t) for t in every)]
+    templates = [Template.of(f, t) for f, texts in TEMPLATES.items() for t in texts]
+    known = {g for own in (*TEMPLATES.values(), UNKNOWN) for t in own for g in trigrams(t)}
+
+    def plain_line(line: str) -> bool:
+        w = set(words(line))
+        return known.isdisjoint(trigrams(line)) and not any(len(t.words & w) >= CONFIRMED * len(t.words) for t in templates)
+
+    plain = [n for n in negatives if plain_line(n)]
     draw = random.Random(seed)
     filler = sorted({w for n in plain for w in n.split()})[:5000] or ["text"]
     examples = [(v, f) for f, texts in TEMPLATES.items() for t in texts for v in _variants(t, filler, draw)]
     examples += [(v, OTHER) for t in UNKNOWN for v in _variants(t, filler, draw)]
-    usual = Counter(w for n in plain for w in set(words(n)))
-    often = max(2, len(plain) // 500)
-    anchor = {
-        w for text, _ in examples for w in words(text)
-        if len(w) >= ANCHOR and usual[w] <= often and any(w in words(t) for own in (*TEMPLATES.values(), UNKNOWN) for t in own)
-    }
+    anchor = {w for own in (*TEMPLATES.values(), UNKNOWN) for t in own for w in words(t) if len(w) >= ANCHOR}
     classes = [NONE, OTHER, *TEMPLATES]
     counted = Counter(g for text, _ in examples for g in ngrams(text))
     kept = sorted(g for g, n in counted.items() if n >= 3 and any(w in anchor for w in g.split(" ")))
@@ -229,10 +392,12 @@ def scan(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col:
     """A row for each paragraph with a licence notice: (id, paragraph, begin, end, family,
     probability, likeness).
 
-    Paragraphs are the lines of the whole text, counted from 0; `begin` and `end` are code
-    points. Only lines with one of the model's rare words can score, and those words are
-    searched for in one pass; every such line is scored. NULL and empty texts have no
-    paragraphs, repeated and NULL ids are rows of their own, other columns are not read.
+    A notice is a line, or lines that follow each other without a blank one, as where it is
+    hard-wrapped; `paragraph` is its first line, counted from 0 in the whole text, `begin` and
+    `end` are code points of its lines. Only lines with a long word of a template, or between
+    such lines, can be part of one; those words are searched for in one pass. NULL and empty
+    texts have no paragraphs, repeated and NULL ids are rows of their own, other columns are
+    not read.
     """
     rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("body"))
     kind = dict(rows.dtypes)["key"]
@@ -242,7 +407,7 @@ def scan(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col:
 
         search = ahocorasick.Automaton()
         for word in model.anchors:
-            search.add_word(word, True)
+            search.add_word(word, word)
         search.make_automaton()
         names = ("key", "paragraph", "begin", "end", "family", "probability", "likeness")
         for b in batches:
@@ -250,11 +415,7 @@ def scan(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col:
             for key, text in zip(b["key"], b["body"]):
                 if not text or not model.anchors or next(search.iter(text.lower()), None) is None:
                     continue
-                begin = 0
-                for number, line in enumerate(text.split("\n")):
-                    if next(search.iter(line.lower()), None) is not None and (judged := model.judge(line)):
-                        found.append((key, number, begin, begin + len(line), *judged))
-                    begin += len(line) + 1
+                found += ((key, *notice) for notice in model.notices(text, search))
             if found:
                 yield dict(zip(names, map(list, zip(*found))))
 
