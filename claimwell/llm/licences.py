@@ -78,6 +78,7 @@ UNKNOWN = (
     "This work is licensed under the Example Public License.",
     "See the license file for the terms of use.",
     "Distributed under the Company License Agreement.",
+    "SPDX-License-Identifier: LicenseRef-Example",
 )
 NONE, OTHER = "none", "unknown"
 #: Lines of the corpus, at most, that stand for paragraphs without a notice.
@@ -93,6 +94,45 @@ _WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
 _TEXT = re.compile(r"[^\W_]")
 
 
+#: What tells families apart, searched for in the words of a notice.
+_MARKS = {
+    name: re.compile(rf"(?<![a-z\d])(?:{wording})(?![a-z\d])")
+    for name, wording in {
+        "gnu": r"gnu|[al]?gpl(?:v?\d[\d.]*)?",
+        "affero": r"affero|agpl(?:v?\d[\d.]*)?",
+        "lesser": r"lesser|lgpl(?:v?\d[\d.]*)?|gnu library",
+        "free documentation": r"free documentation|gfdl",
+        "mit": "mit(?!-)",
+        "no attribution": "no attribution|mit-0",
+        "apache": "apache",
+        "bsd": "bsd",
+        "mozilla": "mozilla|mpl",
+        "cc": r"creative commons|cc(?!0)",
+        "cc0": "cc0",
+        "nc": r"nc|(?:attribution-?)?non[- ]?commercial",
+        "sa": r"sa|(?:attribution-?)?share[- ]?alike",
+        "nd": r"nd|(?:attribution-?)?no[- ]?deriv(?:ative)?s?(?: works)?",
+        "all reserved": "all rights reserved",
+        "some reserved": "some rights reserved|no rights reserved",
+        "clauses": r"(?:\d|two|three|four)[- ]clause",
+    }.items()
+}
+_VERSION = re.compile(
+    r"(?:version|(?<![a-z])v|licen[sc]e|gpl|mpl|apache|bsd|cc0|(?<![a-z])(?:by|nc|sa|nd)|attribution|commercial|alike|"
+    r"derivatives|derivs|international)[- ]?v?(\d{1,2}(?:\.\d{1,2})*)(?![\d]|\.\d|[- ]clause)"
+)
+_CLAUSES = {"two": "2", "three": "3", "four": "4"}
+
+
+def marks(text: list[str]) -> frozenset[str]:
+    """The deciding words of a notice: whose licence, its kind, its version."""
+    joined = " ".join(text)
+    found = {name for name, wording in _MARKS.items() if name != "clauses" and wording.search(joined)}
+    found |= {"version " + re.sub(r"(\.0)+$", "", v) for v in _VERSION.findall(joined)}
+    found |= {"clauses " + _CLAUSES.get(x[0], x[0]) for x in (re.split("[- ]", c) for c in _MARKS["clauses"].findall(joined))}
+    return frozenset(found)
+
+
 def words(paragraph: str) -> list[str]:
     return _WORD.findall(paragraph.lower())
 
@@ -103,18 +143,21 @@ def ngrams(paragraph: str) -> Counter:
 
 
 def trigrams(paragraph: str) -> set[str]:
+    """Three words in a row with a long one, also if hyphens join them."""
     w = words(paragraph)
-    return {" ".join(w[i : i + 3]) for i in range(len(w) - 2) if any(len(x) >= ANCHOR for x in w[i : i + 3])}
+    joined = {x for x in w if x.count("-") >= 2}
+    return joined | {" ".join(w[i : i + 3]) for i in range(len(w) - 2) if any(len(x) >= ANCHOR for x in w[i : i + 3])}
 
 
 @dataclass(frozen=True)
 class Template:
     """A wording of a family. Of its words, at least `least` long ones are in a confirmed
-    notice, and all of them within `reach` words."""
+    notice, and all of them within `reach` words. Its marks, and no other, are there too."""
 
     family: str
     words: frozenset
     pairs: frozenset
+    marks: frozenset
     least: int
     reach: int
 
@@ -123,11 +166,11 @@ class Template:
         w = words(text)
         own = frozenset(w)
         short = sum(len(x) < ANCHOR for x in own)
-        return cls(family, own, frozenset(zip(w, w[1:])), max(1, math.ceil(CONFIRMED * len(own)) - short), 2 * len(w) + 6)
+        return cls(family, own, frozenset(zip(w, w[1:])), marks(w), max(1, math.ceil(CONFIRMED * len(own)) - short), 2 * len(w) + 6)
 
     def spans(self, text: list[str], least: float = CONFIRMED) -> Iterator[tuple[float, int, int]]:
         """(share of the words, begin, end) of stretches that do not overlap, each the fullest
-        and then shortest one there."""
+        one there, then the one most in order, then the shortest. With `least`, only those with the wording's marks and no other count."""
         held: Counter = Counter()
         places = [i for i, w in enumerate(text) if w in self.words]
         left, best = 0, None
@@ -140,12 +183,27 @@ class Template:
                 left += 1
             begin, share = places[left], len(held) / len(self.words)
             if best and begin >= best[2]:
-                yield best
+                if self.decided(text, best, least):
+                    yield best[:3]
                 best = None
-            if share >= least and (best is None or (share, begin - at) > (best[0], best[1] - best[2] + 1)):
-                best = share, begin, at + 1
-        if best:
-            yield best
+            if share >= least and (best is None or share >= best[0]):
+                rank = share, self.shared(text[begin : at + 1]), begin - at
+                if best is None or rank > best[3]:
+                    best = share, begin, at + 1, rank
+        if best and self.decided(text, best, least):
+            yield best[:3]
+
+    def decided(self, text: list[str], best: tuple, least: float) -> bool:
+        first, last = self.whole(text, best[1], best[2])
+        return not least or marks(text[first:last]) == self.marks
+
+    def whole(self, text: list[str], begin: int, end: int) -> tuple[int, int]:
+        """A stretch with the words around it that are neighbours in the wording."""
+        while begin and (text[begin - 1], text[begin]) in self.pairs:
+            begin -= 1
+        while end < len(text) and (text[end - 1], text[end]) in self.pairs:
+            end += 1
+        return begin, end
 
     def shared(self, text: list[str]) -> int:
         """Pairs of neighbours of the wording that are neighbours in the text."""
@@ -153,11 +211,14 @@ class Template:
 
 
 def _variants(paragraph: str, filler: list[str], draw: random.Random) -> Iterator[str]:
-    """The paragraph itself, and with words lost or put around it."""
+    """The paragraph itself, and with words lost or put around it, but none that decide."""
     yield paragraph
+    own = marks(words(paragraph))
     for _ in range(24):
         w = paragraph.split()
         kept = [x for x in w if draw.random() > 0.12] or w
+        if marks(words(" ".join(kept))) != own:
+            kept = w
         before, after = ([draw.choice(filler) for _ in range(draw.randint(0, 6))] for _ in "ab")
         yield " ".join([*before, *kept, *after])
 
@@ -189,17 +250,23 @@ class LicenceModel:
     def judge(self, paragraph: str) -> tuple[str, float, float] | None:
         """(family, probability, likeness to its template), None without a notice.
 
-        A family that its templates do not confirm becomes `unknown`.
+        Of the families that a template confirms the likeliest counts; `unknown` if there is
+        none.
         """
         chances = self.chances(paragraph)
         by_class = dict(zip(self.classes, chances.tolist()))
         if by_class.get(NONE, 1.0) >= 0.5:
             return None
+        text = words(paragraph)
+        near: dict[str, float] = {}
+        for t in self.templates:
+            near[t.family] = max([near.get(t.family, 0.0), *(x[0] for x in t.spans(text))])
+        confirmed = [f for f, share in near.items() if share]
+        if confirmed:
+            family = max(confirmed, key=lambda f: by_class[f])
+            return family, by_class[family], near[family]
         family = max((c for c in self.classes if c != NONE), key=lambda c: by_class[c])
-        near = self.nearest(words(paragraph), family)
-        if family == OTHER or near < CONFIRMED:
-            return OTHER, 1 - by_class[NONE], near
-        return family, by_class[family], near
+        return OTHER, 1 - by_class[NONE], self.nearest(text, family)
 
     def _confirmed(self, lines: list[list[str]], hits: list[set[str]]) -> list[tuple]:
         """(judged, first, last) of lines that hold a confirmed notice, from the one with the
@@ -230,10 +297,7 @@ class LicenceModel:
                 text = [w for own in lines[first : last + 1] for w in own]
                 owner = [i for i in range(first, last + 1) for _ in lines[i]]
                 for share, begin, end in t.spans(text):
-                    while begin and (text[begin - 1], text[begin]) in t.pairs:
-                        begin -= 1
-                    while end < len(text) and (text[end - 1], text[end]) in t.pairs:
-                        end += 1
+                    begin, end = t.whole(text, begin, end)
                     own = text[begin:end]
                     found.append((t.shared(own), owner[begin] - owner[end - 1], share, -owner[begin], t.family, " ".join(own)))
         taken: set[int] = set()
