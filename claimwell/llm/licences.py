@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 import re
@@ -441,15 +442,22 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", negativ
     total = rows.count()
     parts = 1 << 30
     rate = min(parts, negatives * parts // max(1, total) + 1)
-    chosen = rows.where(F.pmod(F.xxhash64("key", "body"), F.lit(parts)) < rate).select("body").limit(negatives)
+    place = F.xxhash64("key", "body")
+    chosen = rows.where(F.pmod(place, F.lit(parts)) < rate).select(place.alias("place"), "body").orderBy("place").limit(negatives)
 
     def lines(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
             found = [[x[:400] for x in t.split("\n") if x.strip()] for t in b["body"]]
-            yield {"line": [x for own in found for x in own[:: max(1, len(own) // 4)][:4]]}
+            some = [(p, x) for p, own in zip(b["place"], found) for x in own[:: max(1, len(own) // 4)][:4]]
+            yield {"place": [p for p, _ in some], "line": [x for _, x in some]}
 
-    found = sorted(r.line for r in map_batches(chosen, lines, "line string").collect())
-    return train(found[:: max(1, len(found) // negatives)][:negatives])
+    found = [tuple(r) for r in map_batches(chosen, lines, "place bigint, line string").collect()]
+    return train([line for _, line in in_hash_order(found)[:negatives]])
+
+
+def in_hash_order(found: list[tuple[int, str]]) -> list[tuple[int, str]]:
+    """Lines with the hashes of their documents, in an order that no alphabet has a part in."""
+    return sorted(found, key=lambda x: (hashlib.sha256(f"{x[0]} {x[1]}".encode("utf-8", "surrogatepass")).digest(), x))
 
 
 def scan(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
