@@ -17,6 +17,7 @@ from claimwell.llm import (
     licences,
     lz_fingerprint,
     packing,
+    periodic_runs,
     sharding,
     suffix_dedup,
     weak_quality,
@@ -136,3 +137,23 @@ def op8_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited",
         "near_next",
     )
+
+
+@registered
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, in texts of which a tenth are given loops."""
+    docs = documents(spark, sf_dir)
+    found = periodic_runs.periodic_runs(docs, loop_seed=F.crc32(F.col("doc_id").cast("string")))
+    longer = "r.length * m.period > m.length * r.period"  # the first of equals stays
+    best = f"reduce(runs, cast(null as {dict(found.dtypes)['runs'][6:-1]}), (m, r) -> if(m is null or {longer}, r, m))"
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.withColumn("best", F.expr(best)).select(
+        "doc_id",
+        F.size("runs").cast(T.LongType()).alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
