@@ -20,6 +20,7 @@ from claimwell.llm import (
     periodic_runs,
     sharding,
     suffix_dedup,
+    token_alignment,
     weak_quality,
 )
 from claimwell.llm.common import documents
@@ -157,3 +158,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@registered
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two tokenizers in groups that cover the same bytes."""
+    return token_alignment.align(
+        documents(spark, sf_dir),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+        groups=lambda g: F.when(g == "", g).otherwise(F.sha2(g, 256)),
+    ).withColumnRenamed("groups", "groups_sha256")
