@@ -18,6 +18,7 @@ from claimwell.llm import (
     lz_fingerprint,
     packing,
     periodic_runs,
+    pii_spans,
     sharding,
     suffix_dedup,
     token_alignment,
@@ -169,3 +170,18 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.path("piece_bpe_32k.model"),
         groups=lambda g: F.when(g == "", g).otherwise(F.sha2(g, 256)),
     ).withColumnRenamed("groups", "groups_sha256")
+
+
+@registered
+def op13_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document: how many the patterns of each kind find, and all."""
+
+    def written(spans):
+        one = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"]))
+        return F.array_join(one, ",")
+
+    found = pii_spans.personal_data(documents(spark, sf_dir)).withColumn("base", F.filter("spans", lambda s: s["base"]))
+    counts = [F.expr(f"bigint(size(filter(base, s -> s.kind = '{k}')))").alias(f"n_{k}") for k in pii_spans.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(written("base"), 256).alias("base_sha256"), written("spans").alias("spans")
+    )
