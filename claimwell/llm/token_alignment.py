@@ -61,6 +61,20 @@ def linked_pairs(a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 to 2^32 - 1, their lowest bytes first, then the next ones, compressed."""
+    from zstandard import ZstdCompressor
+
+    return ZstdCompressor(level=3).compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    from zstandard import ZstdDecompressor
+
+    planes = np.frombuffer(ZstdDecompressor().decompress(blob), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
 class Numbers:
     """A numpy array that grows."""
 
@@ -267,14 +281,14 @@ class Chunk:
         units = np.unique(np.concatenate(self.units or [np.empty(0, np.int32)]))
         sizes, of_unit, times = aligner.pairs_of(units)
         return {
-            "pairs": pairs, "docs": docs, "units": units.astype("<i4").tobytes(), "ends": np.cumsum(sizes).astype("<i8").tobytes(),
-            "at": np.searchsorted(pairs, of_unit).astype("<i4").tobytes(), "times": times.astype("<i4").tobytes(),
+            "pairs": pairs, "docs": docs, "units": packed(np.diff(units, prepend=0)), "sizes": packed(sizes),
+            "at": packed(np.searchsorted(pairs, of_unit)), "times": packed(times),
         }
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
-_CHUNKS = {"pairs": "array<int>", "docs": "array<bigint>", "ends": "binary", "at": "binary", "times": "binary"}
+_CHUNKS = {"pairs": "array<int>", "docs": "array<bigint>", "sizes": "binary", "at": "binary", "times": "binary"}
 
 
 def _aligned(batches: Iterator[dict], a_path: str, b_path: str) -> Iterator[dict]:
@@ -311,7 +325,7 @@ def _aligned(batches: Iterator[dict], a_path: str, b_path: str) -> Iterator[dict
                     out[name].append(n)
                 held = aligner.units.groups
                 out["groups"].append(b";".join([held[i] for i in numbers.tolist()]))
-                out["units"].append(numbers.astype("<i4").tobytes())
+                out["units"].append(packed(numbers))
                 chunk.add(aligner, numbers, len(text or ""))
             n = end - at
             out["groups"] = pa.array(out["groups"], pa.binary()).cast(pa.string())
@@ -326,15 +340,13 @@ def _aligned(batches: Iterator[dict], a_path: str, b_path: str) -> Iterator[dict
 
 def _summed(key: tuple, documents: pa.Table, counted: pa.Table) -> pa.Table:
     """n_best and count_sum of a chunk's documents, from the counts of its pairs."""
-    is_chunk = documents["ends"].is_valid()
+    is_chunk = documents["sizes"].is_valid()
     docs, chunks = documents.filter(pa.compute.invert(is_chunk)), documents.filter(is_chunk)
-    units = [np.frombuffer(x, "<i4") for x in docs["units"].to_pylist()]
+    units = [unpacked(x) for x in docs["units"].to_pylist()]
     sums = {"n_best": np.zeros(len(units), np.int64), "count_sum": np.zeros(len(units), np.int64)}
     if len(chunks) and sum(map(len, units)):
-        known, ends, at, times = (
-            np.frombuffer(chunks[name][0].as_py(), kind) for name, kind in (("units", "<i4"), ("ends", "<i8"), ("at", "<i4"), ("times", "<i4"))
-        )
-        place = np.searchsorted(known, np.concatenate(units))
+        known, sizes, at, times = (unpacked(chunks[name][0].as_py()) for name in ("units", "sizes", "at", "times"))
+        place, ends = np.searchsorted(np.cumsum(known), np.concatenate(units)), np.cumsum(sizes)
         doc_ends = np.cumsum([len(u) for u in units])
         for name in sums:
             value = np.zeros(len(counted), np.int64)
