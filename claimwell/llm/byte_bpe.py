@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimwell.llm.common import int_lists, map_batches
+from claimwell.llm.common import int_lists, map_batches, worker_memory
 
 NEVER = 1 << 62
 #: Remembered units of a worker process; the memory is started anew beyond that.
@@ -226,15 +226,9 @@ class ByteBPE:
         return next(self.encode_many([text]))
 
 
-_ENCODERS: dict[tuple[str, str], ByteBPE] = {}
-
-
 def _encoder(path: str, pattern: str) -> ByteBPE:
     """One encoder for each worker process, as Python workers serve many tasks."""
-    key = (path, pattern)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = ByteBPE(read_ranks(path), pattern)
-    return _ENCODERS[key]
+    return worker_memory(("byte_bpe", path, pattern), lambda: ByteBPE(read_ranks(path), pattern))
 
 
 class Decoder:

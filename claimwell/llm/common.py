@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 from uuid import uuid4
 
@@ -26,6 +28,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SHIPPED: set[str] = set()
+_HELD: dict[object, object] = {}
+
+
+def worker_memory(owner: object, make: Callable[[], object]):
+    """What an operator keeps in a worker process between tasks, such as words that it knows.
+
+    A process keeps it for one owner at a time: the stages of a pipeline run in the same
+    workers one after the other, and what the one before kept would only fill them.
+    """
+    if owner not in _HELD:
+        _HELD.clear()
+        _HELD[owner] = make()
+    return _HELD[owner]
 
 
 def ship(spark: SparkSession) -> None:
@@ -89,17 +104,31 @@ def map_batches(
 
 
 def filter_batches(df: DataFrame, column: str, keep: Callable[[list], list[bool]]) -> DataFrame:
-    """The rows of `df` that `keep` says yes to, judged by one column, a batch at a time."""
+    """The rows of `df` that `keep` says yes to, judged by one column, ROWS rows at a time."""
     at = df.columns.index(column)
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(keep(b.column(at).to_pylist()), pa.bool_()))
+        for whole in batches:
+            for begin in range(0, whole.num_rows, ROWS):
+                b = whole.slice(begin, ROWS)
+                yield b.filter(pa.array(keep(b.column(at).to_pylist()), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
 
 
+@contextmanager
+def many_objects() -> Iterator[None]:
+    """While many objects without cycles are made, Python need not look for cycles."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def int_lists(parts: list[bytes]) -> pa.Array:
     """Little-endian 32-bit integers, one byte string per row, as an Arrow array of lists."""
     import numpy as np

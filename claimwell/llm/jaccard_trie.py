@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimwell.llm.common import components, map_batches, settle
+from claimwell.llm.common import components, map_batches, settle, worker_memory
 
 WORDS = 5
 #: Similarity in per cent.
@@ -24,13 +24,11 @@ BLOCK = 1024
 BAG, HUB = -1, -2
 REMEMBERED = 1_000_000
 
-_WORD_HASHES: dict[bytes, int] = {}
-
 
 def _word_hashes(words: list[bytes]) -> np.ndarray:
     from xxhash import xxh3_64_intdigest
 
-    known = _WORD_HASHES
+    known = worker_memory("jaccard_trie", dict)
     try:
         return np.array([known[w] for w in words], np.uint64)
     except KeyError:

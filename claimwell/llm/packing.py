@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimwell.llm.common import map_batches, settle
+from claimwell.llm.common import many_objects, map_batches, settle, worker_memory
 
 WINDOW = 2048
 OPEN_WINDOWS = 32
@@ -21,17 +21,15 @@ MERGED_PARTITIONS = 64
 END_ID = 1
 REMEMBERED = 1_000_000
 
-_TOKENIZERS: dict[str, "WordIds"] = {}
-
 
 class WordIds:
     """Ids of a text by the tokenizer file, remembered by word.
 
     The file's normaliser and split pattern work inside stretches without spaces, tabs
     and line ends (they drop white space), so the ids of a text are those of its
-    stretches, one after the other. New words of plain letters, with or without marks
-    after them, go to the library many at a time: such a word has one or two parts, and
-    the last id of each part is one with a word end.
+    stretches, one after the other. A word of plain letters with marks after it has two
+    parts, the letters and the marks. New letter parts go to the library many at a time:
+    the last id of each of them is one with a word end.
     """
 
     def __init__(self, path: str) -> None:
@@ -43,34 +41,39 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size()
         self.ends_part = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.plain = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+([.,;:!?]*)").fullmatch
+        self.plain = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
         self.known: dict[str, bytes] = {"": b""}
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: set[str]) -> None:
         import numpy as np
 
-        known, joined, parts, others = self.known, [], [], []
+        known, parts, others = self.known, [], []
         for word in words:
-            if len(word) < 40 and (found := self.plain(word)):
-                joined.append(word)
-                parts.append(2 if found[1] else 1)
+            # letters in lower case and the marks after them, as the file's rules part them
+            stem = word.rstrip(".,;:!?")
+            if len(word) < 40 and (stem.isascii() and stem.isalpha() or self.plain(stem)):
+                parts.append((word, stem.lower(), word[len(stem) :]))
             else:
                 others.append(word)
+        joined = list({stem for _, stem, _ in parts}.difference(known))
+        others += {marks for _, _, marks in parts}.difference(known)
         for begin in range(0, len(joined), 1000):
-            chunk, last = joined[begin : begin + 1000], np.cumsum(parts[begin : begin + 1000])
+            chunk = joined[begin : begin + 1000]
             found = self.tokenizer.encode_batch_fast([" ".join(chunk)], add_special_tokens=False)
             ids = np.array(found[0].ids, "<i4")
-            ends = np.flatnonzero(self.ends_part[ids]) + 1
-            if len(ends) == last[-1]:
+            ends = 4 * (np.flatnonzero(self.ends_part[ids]) + 1)
+            if len(ends) == len(chunk):
                 packed, at = ids.tobytes(), 0
-                for word, end in zip(chunk, (4 * ends[last - 1]).tolist()):
-                    known[word] = packed[at:end]
+                for stem, end in zip(chunk, ends.tolist()):
+                    known[stem] = packed[at:end]
                     at = end
             else:
                 others += chunk
         if others:
             for word, found in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
                 known[word] = np.array(found.ids, "<i4").tobytes()
+        for word, stem, marks in parts:
+            known[word] = known[stem] + known[marks]
 
     def ids_of(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text as 32-bit integers; the new words of about a million characters
@@ -82,22 +85,21 @@ class WordIds:
                 text = texts[begin + len(split)] or ""
                 chars += len(text)
                 split.append(text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))
-            distinct = dict.fromkeys(w for x in split for w in x)
+            distinct = set().union(*split)
             if len(self.known) + len(distinct) > REMEMBERED:
                 self.known.clear()
                 self.known[""] = b""
             known = self.known
-            self._learn([w for w in distinct if w not in known])
+            with many_objects():
+                self._learn(distinct.difference(known))
             for words in split:
-                yield b"".join([known[w] for w in words])
+                yield b"".join(map(known.__getitem__, words))
             begin += len(split)
 
 
 def word_ids(path: str) -> WordIds:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordIds(path)
-    return _TOKENIZERS[path]
+    return worker_memory(("packing", path), lambda: WordIds(path))
 
 
 class OpenWindows:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimwell.llm.common import map_batches, settle
+from claimwell.llm.common import many_objects, map_batches, settle, worker_memory
 
 #: Characters of documents whose id pairs are counted together, and bytes of remembered units.
 CHUNK, REMEMBERED = 8 << 20, 48 << 20
@@ -153,7 +153,7 @@ class Aligner:
         """The units of a text: without their first space where that is the only one and no
         white space is at an end, else with it."""
         parts, known = text.split(" "), self.units.number
-        if all(p in known or regular(p) for p in parts):
+        if all(map(regular, set(parts).difference(known))):
             return parts
         out, run = [], parts[:1]
         for before, part in zip(parts, parts[1:]):
@@ -228,7 +228,8 @@ class Aligner:
         """The numbers of the units of each text."""
         split = [self.keys(t) if t else [] for t in texts]
         known = self.units.number
-        self.learn([k for k in dict.fromkeys(k for x in split for k in x) if k not in known])
+        with many_objects():
+            self.learn(list(set().union(*split).difference(known)))
         return [np.fromiter(map(known.__getitem__, keys), np.int32, len(keys)) for keys in split]
 
     def pairs_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -286,7 +287,6 @@ class Chunk:
         }
 
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 _CHUNKS = {"pairs": "array<int>", "docs": "array<bigint>", "sizes": "binary", "at": "binary", "times": "binary"}
 
@@ -295,10 +295,8 @@ def _aligned(batches: Iterator[dict], a_path: str, b_path: str) -> Iterator[dict
     """One row for each document, and after some of them one for their chunk."""
     from pyspark import TaskContext
 
-    key = (a_path, b_path)
-    if key not in _ALIGNERS:
-        _ALIGNERS[key] = Aligner(a_path, b_path)
-    aligner, part, number, chunk = _ALIGNERS[key], TaskContext.get().partitionId(), 0, Chunk()
+    aligner = worker_memory(("token_alignment", a_path, b_path), lambda: Aligner(a_path, b_path))
+    part, number, chunk = TaskContext.get().partitionId(), 0, Chunk()
     blank = [None]
 
     def finished() -> dict:

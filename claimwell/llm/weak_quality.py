@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimwell.llm.common import map_batches
+from claimwell.llm.common import map_batches, worker_memory
 
 GOOD, BAD, ABSTAIN = "1", "0", "-"
 #: Hashed dimensions of the scorer.
@@ -142,25 +142,24 @@ def label_model(patterns: dict[str, int], rounds: int = 200) -> dict[str, float]
     return dict(zip(names, good.tolist()))
 
 
-_SHAPES: dict[str, int] = {}
 _RUNS = (
     (re.compile("[A-Z]+"), "A"), (re.compile("[a-zß-\U0010ffff]+"), "a"), (re.compile("[0-9]+"), "9"),
     (re.compile(r"(.)\1\1+"), r"\1\1"),
 )
 
 
-def _shape(word: str) -> int:
+def _shape(word: str, known: dict[str, int]) -> int:
     """A hash of a word's shape: runs of capitals, small letters and digits, and its marks."""
     from xxhash import xxh32_intdigest
 
     shape = word
     for pattern, by in _RUNS:
         shape = pattern.sub(by, shape)
-    if len(_SHAPES) >= REMEMBERED:
-        _SHAPES.clear()
+    if len(known) >= REMEMBERED:
+        known.clear()
     value = xxh32_intdigest(shape.encode("utf-8", "surrogatepass"))
     if len(word) < 40:
-        _SHAPES[word] = value
+        known[word] = value
     return value
 
 
@@ -170,9 +169,9 @@ def features(text: str | None, dimensions: int = DIMENSIONS) -> tuple[np.ndarray
 
     Dimension 0 is a constant that every text has.
     """
-    known = _SHAPES
+    known = worker_memory("weak_quality", dict)
     words = (text or "").split()
-    one = np.array([known.get(w) or _shape(w) for w in words], np.uint64)
+    one = np.array([known.get(w) or _shape(w, known) for w in words], np.uint64)
     two = one[1:] * np.uint64(0x9E3779B1) + one[:-1]
     again = np.full(sum(map(str.__eq__, words, words[1:])), 1 << 40, np.uint64)
     mixed = np.concatenate([one, two, again]) * np.uint64(0x9E3779B97F4A7C15)
