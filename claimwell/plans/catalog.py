@@ -7,14 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimwell.functions import filenames, masking, quality
-from claimwell.operators import compare, dedupe, enrich, registry, reports, summaries
-from claimwell.plans import run, stages
+from claimwell.operators import compare, dedupe, enrich, partials, registry, reports, summaries
+from claimwell.plans import rollup, run, stages
 from claimwell.schemas import RAW_CLAIM
 from claimwell.session import shared_folder
 from claimwell.sources import envelope
@@ -447,8 +448,11 @@ def _whole_run(spark: SparkSession, folder: str) -> Lake:
     return lake
 
 
-def _run_into(lake: Lake, folder: str, settings: run.RunSettings, spoilt: str | None = None) -> None:
-    """A run over the files of all clients, or of one whose rows all lack their ids."""
+def _run_into(
+    lake: Lake, folder: str, settings: run.RunSettings, spoilt: str | None = None, client: str | None = None, where: str = "true"
+) -> None:
+    """A run over the files of all clients, or of one whose rows all lack their ids, or of one
+    that sends some of its rows."""
     spark = lake.spark
     tables = SampleTables(spark, folder)
     name = "concat('BCBS', lpad(cast(o_custkey % 20 AS string), 3, '0'), '_837P_PROD_20240131_001.csv')"
@@ -462,6 +466,9 @@ def _run_into(lake: Lake, folder: str, settings: run.RunSettings, spoilt: str |
     if spoilt:
         raw = raw.filter(F.col("source_file").startswith(spoilt)).withColumn("claim_id", F.lit(None).cast("string"))
         files = files.filter(F.col("file_name").startswith(spoilt))
+    if client:
+        raw = raw.filter(F.col("source_file").startswith(client)).filter(where)
+        files = files.filter(F.col("file_name").startswith(client))
     run.process_claims(lake, raw, files, tables.cpt_codes(), tables.icd10_codes(), settings)
 
 
@@ -542,3 +549,31 @@ def q47_rerun_without_clean_rows(spark: SparkSession, folder: str) -> DataFrame:
     for zone, name in zones.items():
         files = files.join(lake.current(zone).groupBy("client_code").agg(F.count("*").alias(name)), "client_code", "left")
     return files.fillna(0, list(zones.values()))
+
+
+_ROLLED_COLUMNS = {
+    "avg_claim_age_days": "double", "unique_members": "bigint", "unique_providers": "bigint", "unique_payers": "bigint",
+    "unique_cpt_codes": "bigint", "low_claims": "bigint", "medium_claims": "bigint", "high_claims": "bigint",
+    "has_chronic_condition": "boolean", "most_recent_service_date": "date",
+}
+
+
+@registered
+def q48_rolled_up_summaries(spark: SparkSession, folder: str) -> DataFrame:
+    """All five summaries over all files, kept up over a rerun of two clients: one sends fewer
+    rows than before, one only bad ones. Read from what was rolled up, no claims."""
+    lake = _whole_run(spark, folder)
+    rollup.update(lake)
+    settings = run.RunSettings(as_of=AS_OF)
+    _run_into(lake, folder, settings, client="BCBS007", where="place_of_service IN ('11', '21')")
+    _run_into(lake, folder, settings, spoilt="BCBS003")
+    rollup.update(lake)
+    found = []
+    for name, parts in partials.SUMMARIES.items():
+        rows = _plain(rollup.summary(lake, name))
+        key2 = F.col(parts.keys[1]) if parts.keys[1:] else F.lit(None).cast("string")
+        more = [F.col(c) if c in rows.columns else F.lit(None).cast(t).alias(c) for c, t in _ROLLED_COLUMNS.items()]
+        found.append(
+            rows.select(F.lit(name).alias("summary"), F.col(parts.keys[0]).alias("key"), key2.alias("key2"), "total_claims", "total_billed", "avg_billed", *more)
+        )
+    return reduce(DataFrame.unionByName, found)

@@ -180,6 +180,40 @@ _CTES["members"] = _MEMBERS
 _CTES["payers"] = _PAYERS
 _CTES["providers"] = _PROVIDERS
 
+# What is left after BCBS003 sent bad rows only and BCBS007 two places of service only.
+_CTES["rerun"] = f"""select sha256(member_id) as member_id_hash, sha256(provider_npi) as provider_npi_hash,
+    c.* exclude (member_id, provider_npi), {_bucket()} as billed_category,
+    date_diff('day', service_date, date '2002-01-01') as claim_age_days,
+    coalesce(chronic_text = 'true', false) as chronic_flag
+    from (select {_CLAIM_COLUMNS}, o_custkey % 20 as client from {_JOINED}) c left join icd10 on c.icd10_code = icd10.icd10_code
+    where {_VALID} and client <> 3 and (client <> 7 or place_of_service in (11, 21))"""
+
+
+def _figures(**given: str) -> str:
+    """The figures that a rolled-up summary has, and NULL for those that it has not."""
+    kinds = {"avg_claim_age_days": "double", **{f"unique_{x}": "bigint" for x in ("members", "providers", "payers", "cpt_codes")}}
+    kinds |= {f"{b}_claims": "bigint" for b in ("low", "medium", "high")}
+    kinds |= {"has_chronic_condition": "boolean", "most_recent_service_date": "date"}
+    return ", ".join(f"{given[c]} as {c}" if c in given else f"cast(null as {kind}) as {c}" for c, kind in kinds.items())
+
+
+_COUNT = "count(distinct {})"
+_MEMBER, _PAYER, _PROVIDER, _CPT = (_COUNT.format(c) for c in ("member_id_hash", "payer_id", "provider_npi_hash", "cpt_code"))
+_MEAN_AGE = "round(avg(claim_age_days), 1)"
+_ROLLED = (
+    ("payer_category_summary", "payer_id", "billed_category", "payer_id, billed_category",
+     _figures(avg_claim_age_days=_MEAN_AGE, unique_members=_MEMBER, unique_cpt_codes=_CPT)),
+    ("cpt_summary", "cpt_code", "null", "cpt_code", _figures(unique_payers=_PAYER, unique_members=_MEMBER)),
+    ("member_summary", "member_id_hash", "null", "member_id_hash",
+     _figures(unique_providers=_PROVIDER, unique_payers=_PAYER, has_chronic_condition="bool_or(chronic_flag)",
+              most_recent_service_date="max(service_date)")),
+    ("payer_summary", "payer_id", "null", "payer_id",
+     _figures(avg_claim_age_days=_MEAN_AGE, unique_members=_MEMBER, unique_providers=_PROVIDER,
+              **{f"{b.lower()}_claims": f"count(*) filter (where billed_category = '{b}')" for b in ("LOW", "MEDIUM", "HIGH")})),
+    ("provider_summary", "provider_npi_hash", "null", "provider_npi_hash",
+     _figures(unique_members=_MEMBER, unique_payers=_PAYER, unique_cpt_codes=_CPT)),
+)
+
 _AS_DOUBLE = "* replace (cast(billed_amount as double) as billed_amount)"
 _ACTION = """case when reject_reason is not null then 'INVALID'
     when coalesce(latest_status = 'CURATED', false) and not {force} then 'SKIP' else 'TRIGGER' end"""
@@ -358,6 +392,10 @@ _BODIES = {
         case when client_code = 'BCBS003' then 0 else p end as payers
         from (select split_part({_RUN_FILE}, '_', 1) as client_code, count(*) as n, count(distinct member_id) as m,
               count(distinct payer_id) as p from (select {_CLAIM_COLUMNS}, o_custkey from {_JOINED}) where {_VALID} group by 1)""",
+    "q48_rolled_up_summaries": " union all ".join(
+        f"""select '{name}' as summary, {key} as key, {key2} as key2, {_volume()}, {figures} from rerun group by {by}"""
+        for name, key, key2, by, figures in _ROLLED
+    ),
     "q45_held_claims": """select source_file, count(*) as held_claims, cast(sum(billed_amount) as double) as held_billed
         from filed_keys where client_code is null group by 1""",
 }

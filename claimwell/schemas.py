@@ -118,6 +118,14 @@ PROVIDER_SUMMARY = _struct(
     "unique_cpt_codes bigint, curated_at timestamp"
 )
 
+# Parts of summaries: see operators/partials.py.
+CLAIM_SUMS = _struct(
+    "summary string, key string, key2 string, total_claims bigint, billed money_sum, amounts bigint,"
+    "age_days bigint, aged bigint, low_claims bigint, medium_claims bigint, high_claims bigint,"
+    "chronic_claims bigint, files bigint"
+)
+CLAIM_LINKS = _struct("link string, a string, b string, category string, files bigint")
+
 
 def per_file(schema: T.StructType) -> T.StructType:
     """A summary schema with the columns that name the file it belongs to."""
@@ -146,6 +154,9 @@ ARRIVAL_DECISION = _struct(
     "client_code string, file_type string, env string, file_date string, sequence string,"
     "latest_status string, action string, reason string, decided_at timestamp"
 )
+# The files whose parts a version of the rolled-up summaries holds, and the versions.
+ROLLED_FILE = _struct(_FILE + ", snapshot_id string")
+ROLLUP = _struct("version string, published_at timestamp, files bigint, added bigint, taken_out bigint")
 SNAPSHOT = _struct(
     "zone string, snapshot_id string, published_at timestamp, source_file string, row_count bigint,"
     + _FILE

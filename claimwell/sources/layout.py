@@ -33,16 +33,26 @@ ZONES = {
         "transformed/summaries/payer", S.per_file(S.PAYER_CATEGORY_SUMMARY), _PER_FILE
     ),
     "cpt_summary": Zone("transformed/summaries/cpt", S.per_file(S.CPT_SUMMARY), _PER_FILE),
+    "claim_sums": Zone("transformed/parts/sums", S.per_file(S.CLAIM_SUMS), _PER_FILE),
+    "claim_links": Zone("transformed/parts/links", S.per_file(S.CLAIM_LINKS), _PER_FILE),
     "member_summary": Zone("curated/member_summary", S.per_file(S.MEMBER_SUMMARY), _PER_FILE),
     "payer_summary": Zone("curated/payer_summary", S.per_file(S.PAYER_SUMMARY), _PER_FILE),
     "provider_summary": Zone("curated/provider_summary", S.per_file(S.PROVIDER_SUMMARY), _PER_FILE),
 }
 
+# Summaries over all files: one directory for each version.
+ROLLED = {
+    "sums": Zone("rollup/sums", S.CLAIM_SUMS, ("version",)),
+    "links": Zone("rollup/links", S.CLAIM_LINKS, ("version",)),
+    "files": Zone("rollup/files", S.ROLLED_FILE, ("version",)),
+}
+
 AUDIT = {
     "file_events": Zone("audit/file_events", S.FILE_EVENT),
     "pipeline_runs": Zone("audit/pipeline_runs", S.PIPELINE_RUN, ("run_id",)),
     "arrival_decisions": Zone("audit/arrival_decisions", S.ARRIVAL_DECISION, ("run_id",)),
     "snapshots": Zone("audit/snapshots", S.SNAPSHOT),
+    "rollups": Zone("audit/rollups", S.ROLLUP),
     "source_systems": Zone("audit/source_systems", S.SOURCE_SYSTEM),
 }
 
