@@ -76,6 +76,24 @@ def action_counts(decisions: DataFrame) -> DataFrame:
     return decisions.groupBy("action").agg(F.count("*").alias("files"))
 
 
+def same_content(files: DataFrame, known: DataFrame) -> DataFrame:
+    """(file_name, same_as): files (file_name, file_hash) whose content a CURATED file of another
+    name has, or another one of `files` that comes first by name. `known` are registry rows."""
+    own = files.where(F.col("file_hash").isNotNull())
+    done = known.where(F.col("ingestion_status") == "CURATED").select("file_hash", F.col("file_name").alias("other"))
+    before = own.select("file_hash", F.col("file_name").alias("other"))
+    curated = F.lit(True)
+    both = done.withColumn("done", curated).unionByName(before.withColumn("done", ~curated))
+    # of a digest, only the first two names of either kind can matter
+    place = F.row_number().over(Window.partitionBy("file_hash", "done").orderBy("other"))
+    few = both.withColumn("place", place).where("place <= 2")
+    met = own.join(few, "file_hash").where(
+        (F.col("other") != F.col("file_name")) & (F.col("done") | (F.col("other") < F.col("file_name")))
+    )
+    first = F.min_by("other", F.struct(~F.col("done"), "other"))
+    return met.groupBy("file_name").agg(first.alias("same_as"))
+
+
 def unregistered(arrivals: DataFrame, events: DataFrame, order: Sequence[Column]) -> DataFrame:
     """The first arrival of each valid file name that no event knows yet, with its fields."""
     valid = with_file_fields(arrivals).filter(F.col("client_code").isNotNull())

@@ -18,11 +18,12 @@ from claimwell.operators import compare, dedupe, enrich, partials, registry, rep
 from claimwell.plans import rollup, run, stages
 from claimwell.schemas import RAW_CLAIM
 from claimwell.session import shared_folder
-from claimwell.sources import envelope
+from claimwell.sources import envelope, raw_lines, upkeep
+from claimwell.sources import tables as sql_tables
 from claimwell.sources.arrivals import list_arrivals
+from claimwell.sources.claims_csv import FileFormat
 from claimwell.sources.fixed_width import Field, parse_fixed_width
 from claimwell.sources.lake import Lake
-from claimwell.sources.landing import land_files
 from claimwell.sources.sample_tables import SampleTables
 from claimwell.streaming import records
 
@@ -489,6 +490,24 @@ def q40_run_audit(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _inbound(lines: DataFrame, order: list[str]) -> str:
+    """A folder with one text file for each source_file of (source_file, value), its lines in
+    order. Spark names its output files itself, so each is renamed when all are written."""
+    spark = lines.sparkSession
+    folder = f"{shared_folder(spark)}/inbound-{uuid4().hex[:8]}"
+    written = f"{folder}/_written"
+    ordered = lines.repartition("source_file").sortWithinPartitions("source_file", *order).select("source_file", "value")
+    ordered.write.partitionBy("source_file").text(written)
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(hadoop)
+    for row in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(written).select("path").collect():
+        name = row.path.split("source_file=")[1].split("/")[0]
+        files.rename(path(row.path), path(f"{folder}/{name}"))
+    files.delete(path(written), True)
+    return folder
+
+
 @registered
 def q44_claim_files(spark: SparkSession, folder: str) -> DataFrame:
     """Claims written as CSV files, one for each client, taken in by a run, and what became of
@@ -501,8 +520,8 @@ def q44_claim_files(spark: SparkSession, folder: str) -> DataFrame:
     claims = tables.claims("l_suppkey", f"{name} AS source_file")
     more = "if(l_suppkey % 13 = 0, ',more', '')"
     lines = claims.selectExpr("source_file", f"concat(concat_ws(',', {', '.join(sent.values())}), {more}) AS value")
-    inbound = f"{shared_folder(spark)}/inbound-{uuid4().hex[:8]}"
-    land_files(lines, ",".join(RAW_CLAIM.names), inbound)
+    names = lines.select("source_file").distinct().select("source_file", F.lit(",".join(RAW_CLAIM.names)).alias("value"), F.lit(0).alias("place"))
+    inbound = _inbound(names.unionByName(lines.withColumn("place", F.lit(1))), ["place"])
     lake = Lake(spark, f"{shared_folder(spark)}/lake-{uuid4().hex[:8]}")
     run.process_arrivals(
         lake, list_arrivals(spark, inbound), tables.cpt_codes(), tables.icd10_codes(), run.RunSettings(as_of=AS_OF)
@@ -577,3 +596,134 @@ def q48_rolled_up_summaries(spark: SparkSession, folder: str) -> DataFrame:
             rows.select(F.lit(name).alias("summary"), F.col(parts.keys[0]).alias("key"), key2.alias("key2"), "total_claims", "total_billed", "avg_billed", *more)
         )
     return reduce(DataFrame.unionByName, found)
+
+
+# Files of 20 clients by their number modulo 4; further ones hold the lines of client 4 again.
+_FILE_KINDS = ("plain", "right checksum", "wrong checksum", "no checksum")
+_COPY = {"002": "copy", "003": "changed", "004": "swapped"}
+
+
+def _files_of_all_kinds(spark: SparkSession, folder: str) -> str:
+    """An inbound folder with plain files and files in an envelope, whose checksum is right,
+    wrong or missing and which hold a record that looks like the line of column names, with a
+    file of a refused name, and with copies of a file: as it is, one byte changed, two lines
+    swapped."""
+    tables = SampleTables(spark, folder)
+    sent = ", ".join(f"coalesce(cast({c} AS string), '')" for c in RAW_CLAIM.names)
+    claims = tables.claims("o_custkey % 20 AS client", "l_orderkey", "l_linenumber")
+    rows = claims.selectExpr("client", f"concat_ws(',', {sent}) AS value", "1 AS place", "l_orderkey AS a", "l_linenumber AS b")
+    name = "concat('BCBS', lpad(cast(client AS string), 3, '0'), '_837P_PROD_20240131_{}.csv') AS source_file"
+    names = ",".join(RAW_CLAIM.names)
+    line = ("client", f"'{names}' AS value")
+    clients = rows.select("client").distinct()
+    looks_alike = clients.where("client % 4 <> 0").selectExpr(*line, "1 AS place", "cast(-1 AS bigint) AS a", "0 AS b")
+    records = rows.unionByName(looks_alike)
+    sums = records.groupBy("client").agg(F.count("*").alias("n"), F.sum(F.crc32("value")).alias("crc"))
+    mark = "concat('@{}|BCBS', lpad(cast(client AS string), 3, '0'), '|837P|PROD|20240131|001|', {}, 'ROW_COUNT=', n{})"
+    stated = "if(client % 4 = 3, '', concat('|CHECKSUM=', lpad(hex((crc + if(client % 4 = 2, 1, 0)) % 4294967296), 8, '0')))"
+    enveloped = sums.where("client % 4 <> 0")
+    ends = [
+        enveloped.selectExpr("client", mark.format("HEADER", "'DELIMITER=,|'", "") + " AS value", "-1 AS place", "cast(0 AS bigint) AS a", "0 AS b"),
+        enveloped.selectExpr("client", mark.format("TRAILER", "''", f", {stated}") + " AS value", "2 AS place", "cast(0 AS bigint) AS a", "0 AS b"),
+        clients.selectExpr(*line, "0 AS place", "cast(0 AS bigint) AS a", "0 AS b"),
+    ]
+    whole = reduce(DataFrame.unionByName, [records, *ends])
+    found = [whole.selectExpr(name.format("001"), "value", "place", "a", "b")]
+    again = whole.where("client = 4")
+    first = again.where("place = 1").agg(F.min(F.struct("a", "b")).alias("s")).select("s.*").first()
+    is_first = F.lit(False) if first["a"] is None else (F.col("place") == 1) & (F.col("a") == first["a"]) & (F.col("b") == first["b"])
+    for sequence, change in _COPY.items():
+        copy = again
+        if change == "changed":
+            copy = copy.withColumn("value", F.when(is_first, F.concat("value", F.lit("!"))).otherwise(F.col("value")))
+        if change == "swapped":  # the first record after all others
+            copy = copy.withColumn("place", F.when(is_first, F.lit(3)).otherwise(F.col("place")))
+        found.append(copy.selectExpr(name.format(sequence), "value", "place", "a", "b"))
+    found.append(again.selectExpr("'bcbs004_837P_PROD_20240131_001.csv' AS source_file", "value", "place", "a", "b"))
+    return _inbound(reduce(DataFrame.unionByName, found), ["place", "a", "b"])
+
+
+def _landed(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored lines of files of all kinds."""
+    lake = Lake(spark, f"{shared_folder(spark)}/lake-{uuid4().hex[:8]}")
+    lake.land(raw_lines.read_lines(spark, [_files_of_all_kinds(spark, folder)]), "first")
+    return lake.raw_lines("first")
+
+
+@registered
+def q49_landed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line of files of all kinds: how many landed, what became of them in a run, and
+    whether a second run over the landed lines alone, with inbound gone, says the same."""
+    inbound = _files_of_all_kinds(spark, folder)
+    lake = Lake(spark, f"{shared_folder(spark)}/lake-{uuid4().hex[:8]}")
+    settings = run.RunSettings(as_of=AS_OF, formats=[FileFormat(checksum="crc32-sum")], refuse_same_content=True)
+    codes = (SampleTables(spark, folder).cpt_codes(), SampleTables(spark, folder).icd10_codes())
+    first = run.process_arrivals(lake, list_arrivals(spark, inbound), *codes, settings)
+    second = run.replay(lake, *codes, settings)
+    columns = ("records_read", "records_written", "records_rejected", "run_status", "error_message")
+    runs = lake.audit("pipeline_runs").where("pipeline_name = 'claims_cleanse_job'")
+    both = runs.groupBy("file_name").agg(
+        *[F.max(F.when(F.col("run_id") == r.run_id, F.struct(*columns))).alias(n) for r, n in ((first, "was"), (second, "again"))]
+    )
+    files = registry.current_files(lake.audit("file_events")).select("file_name", "ingestion_status")
+    landed = lake.of_run("landings", first.run_id).withColumnRenamed("source_file", "file_name")
+    return landed.join(both, "file_name", "left").join(files, "file_name", "left").select(
+        "file_name", "action", "all_lines", *[f"was.{c}" for c in columns[:3]], "ingestion_status",
+        F.regexp_extract("was.error_message", "^(checksums? [a-z]+|same content as .*)", 1).alias("error"),
+        F.col("was").eqNullSafe(F.col("again")).alias("same_again"),
+    )
+
+
+@registered
+def q50_same_content(spark: SparkSession, folder: str) -> DataFrame:
+    """Files whose lines are those of a finished file in the same order."""
+    digests = raw_lines.digests(_landed(spark, folder)).withColumnRenamed("source_file", "file_name")
+    finished = digests.where("file_name LIKE 'BCBS%_001.csv'").withColumn("ingestion_status", F.lit("CURATED"))
+    return registry.same_content(digests.where("file_name NOT LIKE 'BCBS%_001.csv'"), finished)
+
+
+@registered
+def q51_envelope_checksums(spark: SparkSession, folder: str) -> DataFrame:
+    """What the envelopes of files state, and what the files hold."""
+    found = envelope.checked(raw_lines.profiles(_landed(spark, folder))).where("header_rows IS NOT NULL")
+    return found.select(
+        "source_file", "header_rows", "actual_rows", "trailer_rows", "verdict",
+        (F.col("stated_checksum") == F.col("found_checksum")).alias("same_checksum"),
+    )
+
+
+def _rerun_of_one(lake: Lake, folder: str, settings: run.RunSettings) -> None:
+    _run_into(lake, folder, settings, client="BCBS007", where="place_of_service IN ('11', '21')")
+
+
+@registered
+def q52_packed_lake(spark: SparkSession, folder: str) -> DataFrame:
+    """Provider summaries by file of a lake whose small leaves were packed, before one client
+    came again, and whose replaced snapshots were removed."""
+    lake = _whole_run(spark, folder)
+    upkeep.pack(lake, ["provider_summary"])
+    _rerun_of_one(lake, folder, run.RunSettings(as_of=AS_OF))
+    horizon = lake.audit("snapshots").agg(F.max("published_at")).first()[0]
+    upkeep.expire(lake, horizon, ["provider_summary"])
+    found = lake.current("provider_summary").groupBy("client_code")
+    return found.agg(
+        F.count("*").alias("providers"), F.sum("total_claims").alias("claims"), F.sum("unique_members").alias("members"),
+        F.sum("total_billed").cast("double").alias("total_billed"),
+    )
+
+
+@registered
+def q53_catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from a table of the session's catalog, by name; the partitions that it has
+    are those of the current files."""
+    lake = Lake(spark, f"{shared_folder(spark)}/lake-{uuid4().hex[:8]}")
+    database = f"claims_{uuid4().hex[:8]}"
+    sql_tables.create(lake, database)
+    settings = run.RunSettings(as_of=AS_OF, database=database)
+    _run_into(lake, folder, settings)
+    _rerun_of_one(lake, folder, settings)
+    return spark.sql(
+        f"""SELECT client_code, count(*) AS providers, sum(total_claims) AS claims, sum(unique_members) AS members,
+                   cast(sum(total_billed) AS double) AS total_billed
+            FROM {database}.provider_summary WHERE env = 'PROD' GROUP BY client_code"""
+    )

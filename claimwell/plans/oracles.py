@@ -214,6 +214,11 @@ _ROLLED = (
      _figures(unique_members=_MEMBER, unique_payers=_PAYER, unique_cpt_codes=_CPT)),
 )
 
+# Files of 20 clients by their number modulo 4, three more with the lines of client 4, and one refused.
+_CTES["kinds"] = f"""select o_custkey % 20 as client, count(*) as n, count(*) filter (where {_VALID}) as ok
+    from (select {_CLAIM_COLUMNS}, o_custkey from {_JOINED}) group by 1"""
+_NAMED = "concat('BCBS', lpad(cast(client as varchar), 3, '0'), '_837P_PROD_20240131_{}.csv')"
+
 _AS_DOUBLE = "* replace (cast(billed_amount as double) as billed_amount)"
 _ACTION = """case when reject_reason is not null then 'INVALID'
     when coalesce(latest_status = 'CURATED', false) and not {force} then 'SKIP' else 'TRIGGER' end"""
@@ -396,6 +401,35 @@ _BODIES = {
         f"""select '{name}' as summary, {key} as key, {key2} as key2, {_volume()}, {figures} from rerun group by {by}"""
         for name, key, key2, by, figures in _ROLLED
     ),
+    "q49_landed_lines": f"""with f as (
+          select {_NAMED.format("001")} as file_name, 'TRIGGER' as action, n, ok, client % 4 as kind, client, '' as part from kinds
+          union all select {_NAMED.format("002")}, 'TRIGGER', n, ok, 0, client, 'copy' from kinds where client = 4
+          union all select {_NAMED.format("003")}, 'TRIGGER', n, ok, 0, client, '' from kinds where client = 4
+          union all select {_NAMED.format("004")}, 'TRIGGER', n, ok, 0, client, '' from kinds where client = 4
+          union all select 'bcbs004_837P_PROD_20240131_001.csv', 'INVALID', n, ok, 0, client, 'refused' from kinds where client = 4)
+        select file_name, action, n + 1 + case when kind > 0 then 3 else 0 end as all_lines,
+          case when part = 'refused' then null when kind > 1 or part = 'copy' then 0 when kind = 1 then n + 1 else n end as records_read,
+          case when part = 'refused' then null when kind > 1 or part = 'copy' then 0 else ok end as records_written,
+          case when part = 'refused' then null when kind > 1 or part = 'copy' then 0
+               when kind = 1 then n + 1 - ok else n - ok end as records_rejected,
+          case when part = 'refused' then null when kind > 1 or part = 'copy' then 'QUARANTINED' else 'CURATED' end as ingestion_status,
+          case when kind = 2 then 'checksums differ' when kind = 3 then 'checksum missing'
+               when part = 'copy' then concat('same content as ', {_NAMED.format("001")}) end as error,
+          true as same_again from f""",
+    "q50_same_content": f"""select {_NAMED.format("002")} as file_name, {_NAMED.format("001")} as same_as from kinds where client = 4
+        union all select 'bcbs004_837P_PROD_20240131_001.csv', {_NAMED.format("001")} from kinds where client = 4""",
+    "q51_envelope_checksums": f"""select {_NAMED.format("001")} as source_file, n + 1 as header_rows, n + 1 as actual_rows, n + 1 as trailer_rows,
+        case client % 4 when 1 then 'accepted' when 2 then 'checksum differs' else 'checksum missing' end as verdict,
+        case client % 4 when 1 then true when 2 then false end as same_checksum from kinds where client % 4 > 0""",
+    **{
+        query: f"""select client_code, count(*) as providers, cast(sum(n) as bigint) as claims, cast(sum(m) as bigint) as members,
+            cast(sum(b) as double) as total_billed
+            from (select split_part({_RUN_FILE}, '_', 1) as client_code, provider_npi, count(claim_id) as n,
+                  count(distinct member_id) as m, sum(billed_amount) as b
+                  from (select {_CLAIM_COLUMNS}, o_custkey from {_JOINED})
+                  where {_VALID} and (o_custkey % 20 <> 7 or place_of_service in (11, 21)) group by 1, 2) group by 1"""
+        for query in ("q52_packed_lake", "q53_catalog_tables")
+    },
     "q45_held_claims": """select source_file, count(*) as held_claims, cast(sum(billed_amount) as double) as held_billed
         from filed_keys where client_code is null group by 1""",
 }

@@ -157,6 +157,15 @@ ARRIVAL_DECISION = _struct(
 # The files whose parts a version of the rolled-up summaries holds, and the versions.
 ROLLED_FILE = _struct(_FILE + ", snapshot_id string")
 ROLLUP = _struct("version string, published_at timestamp, files bigint, added bigint, taken_out bigint")
+# Lines of files as they came, and what is known of each file that landed.
+RAW_LINE = _struct("source_file string, block_start bigint, ordinal bigint, value string")
+LANDING = _struct(
+    "run_id string, source_file string, path string, file_size_bytes bigint, modified_at timestamp,"
+    "action string, lines bigint, all_lines bigint, file_hash string, landed_at timestamp"
+)
+# Leaves whose rows are read from a pack, and the times before which reads are refused.
+PACK = _struct("zone string, pack_id string, snapshot_id string, packed_at timestamp," + _FILE)
+EXPIRY = _struct("horizon timestamp, expired_at timestamp")
 SNAPSHOT = _struct(
     "zone string, snapshot_id string, published_at timestamp, source_file string, row_count bigint,"
     + _FILE

@@ -40,6 +40,20 @@ ZONES = {
     "provider_summary": Zone("curated/provider_summary", S.per_file(S.PROVIDER_SUMMARY), _PER_FILE),
 }
 
+# Lines of files as they came, refused files included: one directory for each run.
+RAW_ZONE = Zone("raw/lines", S.RAW_LINE, (SNAPSHOT_COLUMN,))
+
+# Small leaves of zones in files of a target size: one directory for each client and file of a pack.
+PACKED = "packed"
+
+
+def packed(name: str) -> Zone:
+    zone = ZONES[name]
+    keys = [T.StructField(c, T.StringType()) for c in zone.partitions if c not in {f.name for f in zone.schema.fields}]
+    columns = [f for f in T.StructType(zone.schema.fields + keys).fields if f.name != "client_code"]
+    return Zone(f"{PACKED}/{name}", T.StructType(columns), ("pack_id", "client_code", "pack_file"))
+
+
 # Summaries over all files: one directory for each version.
 ROLLED = {
     "sums": Zone("rollup/sums", S.CLAIM_SUMS, ("version",)),
@@ -52,6 +66,9 @@ AUDIT = {
     "pipeline_runs": Zone("audit/pipeline_runs", S.PIPELINE_RUN, ("run_id",)),
     "arrival_decisions": Zone("audit/arrival_decisions", S.ARRIVAL_DECISION, ("run_id",)),
     "snapshots": Zone("audit/snapshots", S.SNAPSHOT),
+    "landings": Zone("audit/landings", S.LANDING, ("run_id",)),
+    "packs": Zone("audit/packs", S.PACK),
+    "expiries": Zone("audit/expiries", S.EXPIRY),
     "rollups": Zone("audit/rollups", S.ROLLUP),
     "source_systems": Zone("audit/source_systems", S.SOURCE_SYSTEM),
 }
