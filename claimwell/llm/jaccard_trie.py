@@ -30,14 +30,13 @@ def _word_hashes(words: list[bytes]) -> np.ndarray:
 
     known = worker_memory("jaccard_trie", dict)
     try:
-        return np.array([known[w] for w in words], np.uint64)
+        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     except KeyError:
         if len(known) > REMEMBERED:
             known.clear()
-        for w in words:
-            if w not in known:
-                known[w] = xxh3_64_intdigest(w)
-    return np.array([known[w] for w in words], np.uint64)
+        new = set(words).difference(known)
+        known.update(zip(new, map(xxh3_64_intdigest, new)))
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -126,11 +125,12 @@ def trie_links(
     labels: list[int],
     probes: list[int],
     similarity: int = SIMILARITY,
+    allowed: np.ndarray | None = None,
 ) -> list[tuple[int, int]]:
     """Links (i, j) that join, as a forest, all sets that are connected by similar pairs.
 
-    Only pairs of a set in `probes` with another set count. Sets of one label are known to
-    be connected. A probe walks the trie once, carrying its overlap with the shared edges;
+    Only pairs of a set in `probes` with another set count, and of these only those that
+    `allowed` marks, if it is given. Sets of one label are known to be connected. A probe walks the trie once, carrying its overlap with the shared edges;
     it leaves a subtree whose remaining shingles are too few for the overlap needed, or in
     which no set fits in size and is not connected to the probe already.
     """
@@ -143,6 +143,8 @@ def trie_links(
         at = place[original]
         probe, n = trie.sets[at], len(trie.sets[at])
         open_ = (label != label[at]) & (100 * np.minimum(trie.sizes, n) >= similarity * np.maximum(trie.sizes, n))
+        if allowed is not None:
+            open_ &= allowed[original, trie.order]
         stack = [(0, len(sets), 0, 0)] if open_.any() else []
         while stack:
             low, high, depth, overlap = stack.pop()
@@ -221,8 +223,9 @@ def jaccard_components(
     3. Such candidates form bags, and a bag joins a trie; so do classes under the rarest
        of their larger groups, in blocks of `block`. A bag beyond that meets hub by hub.
     4. Larger groups whose classes are not all connected by now meet again as pairs of
-       blocks, so that no pair is left out and no task gets a group. There, pairs are sifted
-       by the shingles of larger groups that they share, and what is left forms bags.
+       blocks, so that no pair is left out and no task gets a group. Groups of many shingles
+       of the same classes are one cluster there, so that their classes meet once and not
+       under each shingle. Two blocks' pairs are sifted by counting, then joined by a trie.
 
     Links form a forest: pairs that are connected already are not compared.
     """
@@ -358,20 +361,20 @@ def jaccard_components(
 
     # pairs that share a counted shingle are candidates already if they can be similar, so in the
     # larger groups only those are left that share nothing but shingles of larger groups
-    whole = found.where("token is not null").select("token", F.col("a").alias("class"), F.col("na").alias("n")).distinct()
-    lists = whole.groupBy("class").agg(F.collect_set("token").alias("shared"))
-    labelled = whole.join(label, "class", "left").withColumn("label", F.coalesce("label", "class"))
-    labelled = settle(labelled, "shingle-labels")
-    halves = F.ceil(F.count("*") / max(1, block // 2)).cast("int").alias("blocks")
-    mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), halves)
-    mixed = mixed.where("low <> high").select("token", "blocks")
-    unsettled = labelled.join(mixed, "token").withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    whole = large.distinct().join(label, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    whole = settle(whole, "shingle-labels")
+    # groups of many shingles of the same classes become one cluster: that of their class with
+    # the smallest hash
+    mixed = whole.groupBy("token").agg(F.min(F.xxhash64("class")).alias("cluster"), F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = mixed.where("low <> high").select("token", "cluster")
+    members = settle(whole.join(mixed, "token").select("cluster", "class", "label").distinct(), "shingle-clusters")
+    halves = members.groupBy("cluster").agg(F.ceil(F.count("*") / max(1, block // 2)).cast("int").alias("blocks"))
+    unsettled = members.join(halves, "cluster").withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     # a block meets itself and every other one
     met = unsettled.withColumn("partner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "class", "n", "token", "label", F.least("own", "partner").alias("block"), F.greatest("own", "partner").alias("other")
+        F.col("cluster").alias("token"), "class", "label", F.least("own", "partner").alias("block"), F.greatest("own", "partner").alias("other"), "own"
     )
-    sifted = settle(_sift(met.join(lists, "class"), similarity).distinct(), "shingle-candidates")
-    more = _meet(_bags(sifted, block).withColumn("label", F.col("class")), sets, similarity)
+    more = settle(_meet(met, sets, similarity, dense=True), "shingle-links")
     label = components(links.unionByName(more)).withColumnsRenamed({"node": "class", "component": "label"})
 
     named = classes.join(label, "class", "left").select("class", "key", F.coalesce("label", "class").alias("label"))
@@ -436,79 +439,68 @@ def _bags(candidates: DataFrame, block: int) -> DataFrame:
     return bagged.unionByName(partners).unionByName(hubs)
 
 
-def _sift(members: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (a, b) that meet under (token, block, other), are not connected, fit in size, and
-    share enough of their first shingles, all of them shingles of larger groups. A pair is
-    given under the smallest shingle that it shares."""
-    met = members.select("token", "block", "other", "class", "n", "label", "shared")
-    met = met.repartition("token", "block", "other").sortWithinPartitions("token", "block", "other", "class")
-
-    def work(batches: Iterator[dict]) -> Iterator[dict]:
-        held: dict[int, tuple[int, int, list[int]]] = {}
-        group = None
-        for b in batches:
-            for *now, name, n, label, shared in zip(*[b[c] for c in ("token", "block", "other", "class", "n", "label", "shared")]):
-                if now != group:
-                    if held:
-                        yield _candidates(group[0], held, similarity)
-                    held, group = {}, now
-                held[name] = (n, label, shared)
-        if held:
-            yield _candidates(group[0], held, similarity)
-
-    return map_batches(met, work, "a bigint, b bigint")
+def similar_pairs(sets: list[np.ndarray], similarity: int, side: np.ndarray | None = None, columns: int = 2048) -> np.ndarray:
+    """Which of the sets are similar, as a matrix; with `side`, only pairs of different sides.
 
-
-def _candidates(token: int, held: dict[int, tuple[int, int, list[int]]], similarity: int) -> dict:
-    names = np.array(list(held), np.int64)
-    size, label = (np.array(x, np.int64) for x in list(zip(*held.values()))[:2])
-    lists = [x for _, _, x in held.values()]
-    tokens = np.concatenate([np.array(x, np.int64) for x in lists])
-    owner = np.repeat(np.arange(len(names)), [len(x) for x in lists])
-    distinct, at, times = np.unique(tokens, return_inverse=True, return_counts=True)
+    Shared shingles are counted as a product of 0/1 matrices, some columns at a time; only
+    shingles that several of the sets hold have a column.
+    """
+    sizes = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     several = times[at] > 1
-    distinct, at = np.unique(tokens[several], return_inverse=True)
-    has = np.zeros((len(names), len(distinct)), np.float32)
-    has[owner[several], at] = 1
-    place = int(np.searchsorted(distinct, token))
-    common = has[:, place:] @ has[:, place:].T
-    earlier = has[:, :place] @ has[:, :place].T
-    behind = -(-similarity * size // 100) - 1
-    needed = -(-similarity * (size[:, None] + size) // (100 + similarity)) - np.maximum(behind[:, None], behind)
-    fits = 100 * np.minimum(size[:, None], size) >= similarity * np.maximum(size[:, None], size)
-    wanted = fits & (common >= needed) & (earlier == 0) & (label[:, None] != label) & (names[:, None] < names)
-    a, b = np.nonzero(wanted)
-    return {"a": names[a], "b": names[b]}
-
-
-def _meet(members: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Links among the classes that meet under (token, block, other)."""
-    met = members.join(sets, "class").select("token", "block", "other", "class", "label", "tokens")
+    at, owner = (np.cumsum(times > 1) - 1)[at[several]], owner[several]
+    by = np.argsort(at, kind="stable")
+    at, owner = at[by], owner[by]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for first in range(0, int(at[-1]) + 1 if len(at) else 0, columns):
+        low, high = np.searchsorted(at, (first, first + columns))
+        held = np.zeros((len(sets), columns), np.float32)
+        held[owner[low:high], at[low:high] - first] = 1
+        common += held @ held.T
+    found = (100 + similarity) * common.astype(np.int64) >= similarity * (sizes[:, None] + sizes)
+    np.fill_diagonal(found, False)
+    return found if side is None else found & (side[:, None] != side)
+
+
+def _meet(members: DataFrame, sets: DataFrame, similarity: int, dense: bool = False) -> DataFrame:
+    """Links among the classes that meet under (token, block, other), as a forest. With `dense`
+    a group is two blocks (or one with itself), told by `own`, of which only pairs of one and
+    the other are looked at: all of them are sifted by counting before the trie joins them."""
+    columns = ["token", "block", "other", "class", "label", "tokens", *(["own"] if dense else [])]
+    met = members.join(sets, "class").select(*columns)
     met = met.repartition("token", "block", "other").sortWithinPartitions("token", "block", "other", "class")
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
-        held: dict[int, tuple[int, np.ndarray]] = {}
+        held: dict[int, tuple[int, np.ndarray, int]] = {}
         group = None
         for b in batches:
             ends: list[tuple[int, int]] = []
-            columns = [b[c] for c in ("token", "block", "other", "class", "label", "tokens")]
-            for *now, name, label, tokens in zip(*columns):
+            sides = b["own"] if dense else [0] * len(b["class"])
+            for *now, name, label, tokens, own in zip(*[b[c] for c in columns[:6]], sides):
                 if now != group:
-                    ends += _joined(held, similarity)
+                    ends += _joined(held, similarity, dense)
                     held, group = {}, now
-                held[name] = (label, np.frombuffer(tokens, ">u8").astype(np.uint64))
+                held[name] = (label, np.frombuffer(tokens, ">u8").astype(np.uint64), own)
             if ends:
                 yield {"a": [a for a, _ in ends], "b": [b for _, b in ends]}
-        if ends := _joined(held, similarity):
+        if ends := _joined(held, similarity, dense):
             yield {"a": [a for a, _ in ends], "b": [b for _, b in ends]}
 
     return map_batches(met, work, "a bigint, b bigint")
 
 
-def _joined(held: dict[int, tuple[int, np.ndarray]], similarity: int) -> list[tuple[int, int]]:
+def _joined(held: dict[int, tuple[int, np.ndarray, int]], similarity: int, dense: bool) -> list[tuple[int, int]]:
     if len(held) < 2:
         return []
     names = list(held)
-    labels, sets = zip(*held.values())
-    found = trie_links(list(sets), list(labels), range(len(names)), similarity)
+    labels, sets, sides = zip(*held.values())
+    if len(set(labels)) == 1:
+        return []
+    allowed, probes = None, np.arange(len(names))
+    if dense:
+        side = np.array(sides)
+        allowed = similar_pairs(list(sets), similarity, side if side.min() < side.max() else None)
+        probes = np.flatnonzero(allowed.any(1))
+    found = trie_links(list(sets), list(labels), probes.tolist(), similarity, allowed)
     return [(names[i], names[j]) for i, j in found]
