@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimwell.functions import filenames, masking, quality
-from claimwell.operators import compare, dedupe, enrich, partials, registry, reports, summaries
+from claimwell.operators import compare, dedupe, enrich, partials, registry, reports, states, summaries
 from claimwell.plans import rollup, run, stages
 from claimwell.schemas import RAW_CLAIM
 from claimwell.session import shared_folder
@@ -25,7 +25,8 @@ from claimwell.sources.claims_csv import FileFormat
 from claimwell.sources.fixed_width import Field, parse_fixed_width
 from claimwell.sources.lake import Lake
 from claimwell.sources.sample_tables import SampleTables
-from claimwell.streaming import records
+from claimwell.streaming import lineage, records
+from claimwell.streaming import states as state_stream
 
 AS_OF = date(2002, 1, 1)
 SALT = "pepper"
@@ -727,3 +728,66 @@ def q53_catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
                    cast(sum(total_billed) AS double) AS total_billed
             FROM {database}.provider_summary WHERE env = 'PROD' GROUP BY client_code"""
     )
+
+
+# ---- states over time, lineage of two streams -----------------------------------------------
+
+STUCK_AFTER = {"RECEIVED": 86_400, "CLEANSED": 3_600, "TRANSFORMED": 3_600, "FAILED": 7 * 86_400}
+
+
+@registered
+def q54_state_transitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Every step of every file, and whether it is a legal one."""
+    return states.transitions(SampleTables(spark, folder).file_events(), "received_at")
+
+
+@registered
+def q55_state_figures(spark: SparkSession, folder: str) -> DataFrame:
+    """Steps that are not legal, by the two states, and the time spent in states."""
+    steps = states.transitions(SampleTables(spark, folder).file_events(), "received_at")
+    spent = states.time_in_states(steps).groupBy("status").agg(
+        F.sum("times_left").alias("times"), F.count("*").alias("files"), F.sum("seconds").alias("seconds")
+    )
+    wrong = states.illegal_steps(steps).withColumn("seconds", F.lit(None).cast("bigint"))
+    return wrong.unionByName(spent.withColumn("before_status", F.lit("any time in")).select(*wrong.columns))
+
+
+@registered
+def q56_stuck_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files that had been in a state for too long when the last event came."""
+    events = SampleTables(spark, folder).file_events()
+    newest = F.lit(events.agg(F.max("received_at")).first()[0])
+    return states.stuck_files(states.last_states(events, "received_at"), newest, STUCK_AFTER)
+
+
+def _events_of_stream(tables: SampleTables) -> DataFrame:
+    found = tables.spark.readStream.schema(tables.table("events").schema)
+    return found.option("pathGlobFilter", "events.parquet").parquet(tables.folder)
+
+
+@registered
+def q57_stream_transitions(spark: SparkSession, folder: str) -> DataFrame:
+    """The steps of a stream of events up to its watermark, an hour before the newest event."""
+    tables = SampleTables(spark, folder)
+    found = _events_of_stream(tables)
+    root = f"{shared_folder(spark)}/states-{uuid4().hex[:8]}"
+    state_stream.follow(tables.file_events(found), root, "1 hour", "received_at").awaitTermination()
+    return state_stream.steps(spark, root)
+
+
+@registered
+def q58_run_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """How each job went over a file: all runs well, none, some, or one still open."""
+    return states.run_outcomes(SampleTables(spark, folder).runs(), ["file_name", "pipeline_name"])
+
+
+@registered
+def q59_stream_lineage(spark: SparkSession, folder: str) -> DataFrame:
+    """File events and the curate runs that started within a day of them, both as streams;
+    an event without such a run comes once the watermark has passed its day."""
+    tables = SampleTables(spark, folder)
+    files = tables.file_events(_events_of_stream(tables)).withColumn("received_at", F.col("received_at").cast("timestamp"))
+    runs = tables.runs(_events_of_stream(tables)).withColumn("started_at", F.col("started_at").cast("timestamp"))
+    curate = runs.where("pipeline_name = 'claims_curate_job'").select("file_name", "run_id", "run_status", "started_at")
+    both = lineage.runs_of_files(files.select("file_name", "event_id", "ingestion_status", "received_at"), curate)
+    return spark.read.parquet(_finished(both, "lineage"))

@@ -219,6 +219,23 @@ _CTES["kinds"] = f"""select o_custkey % 20 as client, count(*) as n, count(*) fi
     from (select {_CLAIM_COLUMNS}, o_custkey from {_JOINED}) group by 1"""
 _NAMED = "concat('BCBS', lpad(cast(client as varchar), 3, '0'), '_837P_PROD_20240131_{}.csv')"
 
+# The states that may follow a state.
+_LEGAL = (
+    ("", "RECEIVED"), ("RECEIVED", "PROCESSING"), ("RECEIVED", "FAILED"), ("RECEIVED", "QUARANTINED"),
+    ("PROCESSING", "CLEANSED"), ("PROCESSING", "FAILED"), ("PROCESSING", "QUARANTINED"),
+    ("CLEANSED", "TRANSFORMED"), ("CLEANSED", "FAILED"), ("TRANSFORMED", "CURATED"), ("TRANSFORMED", "FAILED"),
+    ("CURATED", "PROCESSING"), ("CURATED", "FAILED"), ("CURATED", "QUARANTINED"),
+    ("FAILED", "PROCESSING"), ("FAILED", "FAILED"), ("FAILED", "QUARANTINED"),
+    ("QUARANTINED", "PROCESSING"), ("QUARANTINED", "FAILED"), ("QUARANTINED", "QUARANTINED"),
+)
+_CTES["steps"] = f"""select file_name, event_id, before_status, status, began_at, changed_at,
+    cast(floor(epoch_us(changed_at - began_at) / 1000000.0) as bigint) as seconds,
+    concat(coalesce(before_status, ''), '>', status) in ({", ".join(f"'{a}>{b}'" for a, b in _LEGAL)}) as legal
+    from (select file_name, event_id, ingestion_status as status, received_at as changed_at,
+          lag(ingestion_status) over w as before_status, lag(received_at) over w as began_at
+          from file_events window w as (partition by file_name order by received_at, event_id))"""
+_STUCK = {"RECEIVED": 86400, "CLEANSED": 3600, "TRANSFORMED": 3600, "FAILED": 7 * 86400}
+
 _AS_DOUBLE = "* replace (cast(billed_amount as double) as billed_amount)"
 _ACTION = """case when reject_reason is not null then 'INVALID'
     when coalesce(latest_status = 'CURATED', false) and not {force} then 'SKIP' else 'TRIGGER' end"""
@@ -430,6 +447,29 @@ _BODIES = {
                   where {_VALID} and (o_custkey % 20 <> 7 or place_of_service in (11, 21)) group by 1, 2) group by 1"""
         for query in ("q52_packed_lake", "q53_catalog_tables")
     },
+    "q54_state_transitions": "select * from steps",
+    "q55_state_figures": """select before_status, status, count(*) as times, count(distinct file_name) as files,
+        cast(null as bigint) as seconds from steps where not legal group by 1, 2
+        union all select 'any time in', before_status, count(*), count(distinct file_name), cast(sum(seconds) as bigint)
+        from steps where before_status is not null group by 2""",
+    "q56_stuck_files": f"""select * from (select file_name, ingestion_status as status, received_at as changed_at,
+        cast(floor(epoch_us((select max(received_at) from file_events) - received_at) / 1000000.0) as bigint) as seconds from latest)
+        where {" or ".join(f"(status = '{s}' and seconds > {n})" for s, n in _STUCK.items())}""",
+    "q57_stream_transitions": """select * from steps
+        where changed_at <= (select max(received_at) from file_events) - interval 1 hour""",
+    "q58_run_outcomes": """select file_name, pipeline_name, count(*) as files,
+        count(*) filter (where run_status = 'FAILED') as failed_files, count(*) filter (where ended_at is null) as open_files,
+        case when count(*) filter (where ended_at is null) > 0 then 'RUNNING'
+             when count(*) filter (where run_status = 'FAILED') = 0 then 'SUCCESS'
+             when count(*) filter (where run_status = 'FAILED') = count(*) then 'FAILED' else 'PARTIAL' end as outcome
+        from runs group by 1, 2""",
+    "q59_stream_lineage": """select f.file_name, f.event_id, f.ingestion_status, timezone('UTC', f.received_at) as received_at,
+        r.run_id, r.run_status, timezone('UTC', r.started_at) as started_at
+        from file_events f left join runs r on r.file_name = f.file_name and r.pipeline_name = 'claims_curate_job'
+          and r.started_at between f.received_at and f.received_at + interval 1 day
+        where r.run_id is not null
+           or f.received_at + interval 1 day <
+              (select date_trunc('millisecond', max(started_at)) from runs where pipeline_name = 'claims_curate_job') - interval 1 hour""",
     "q45_held_claims": """select source_file, count(*) as held_claims, cast(sum(billed_amount) as double) as held_billed
         from filed_keys where client_code is null group by 1""",
 }

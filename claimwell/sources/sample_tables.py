@@ -110,8 +110,9 @@ class SampleTables:
             "o_orderkey AS arrival_id", "o_orderdate AS arrived_at", f"{_FILE_NAME} AS file_name"
         )
 
-    def file_events(self) -> DataFrame:
-        return self.table("events").selectExpr(
+    def file_events(self, events: DataFrame | None = None) -> DataFrame:
+        """One event of a file per row; `events` may be a stream of the rows."""
+        return (self.table("events") if events is None else events).selectExpr(
             "event_id",
             f"{_EVENT_FILE_NAME} AS file_name",
             "concat('BCBS', lpad(cast(user_id % 20 AS string), 3, '0')) AS client_code",
@@ -124,8 +125,9 @@ class SampleTables:
             "ts AS received_at",
         )
 
-    def runs(self) -> DataFrame:
-        return self.table("events").selectExpr(
+    def runs(self, events: DataFrame | None = None) -> DataFrame:
+        """One run over a file per row of events, which may be a stream of them."""
+        return (self.table("events") if events is None else events).selectExpr(
             "event_id AS run_id",
             f"{_EVENT_FILE_NAME} AS file_name",
             "CASE event_id % 3 WHEN 0 THEN 'claims_cleanse_job' WHEN 1 THEN 'claims_transform_job'"
