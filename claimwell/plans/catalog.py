@@ -790,4 +790,5 @@ def q59_stream_lineage(spark: SparkSession, folder: str) -> DataFrame:
     runs = tables.runs(_events_of_stream(tables)).withColumn("started_at", F.col("started_at").cast("timestamp"))
     curate = runs.where("pipeline_name = 'claims_curate_job'").select("file_name", "run_id", "run_status", "started_at")
     both = lineage.runs_of_files(files.select("file_name", "event_id", "ingestion_status", "received_at"), curate)
-    return spark.read.parquet(_finished(both, "lineage"))
+    plain = {c: F.col(c).cast("timestamp_ntz") for c in ("received_at", "started_at")}
+    return spark.read.parquet(_finished(both, "lineage")).withColumns(plain)

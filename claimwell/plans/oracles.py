@@ -463,8 +463,8 @@ _BODIES = {
              when count(*) filter (where run_status = 'FAILED') = 0 then 'SUCCESS'
              when count(*) filter (where run_status = 'FAILED') = count(*) then 'FAILED' else 'PARTIAL' end as outcome
         from runs group by 1, 2""",
-    "q59_stream_lineage": """select f.file_name, f.event_id, f.ingestion_status, timezone('UTC', f.received_at) as received_at,
-        r.run_id, r.run_status, timezone('UTC', r.started_at) as started_at
+    "q59_stream_lineage": """select f.file_name, f.event_id, f.ingestion_status, f.received_at,
+        r.run_id, r.run_status, r.started_at
         from file_events f left join runs r on r.file_name = f.file_name and r.pipeline_name = 'claims_curate_job'
           and r.started_at between f.received_at and f.received_at + interval 1 day
         where r.run_id is not null
