@@ -6,19 +6,20 @@ Money leaves a query as double, so that other engines' results can be compared w
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timezone
 from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from claimwell.functions import filenames, masking, quality
 from claimwell.operators import compare, dedupe, enrich, partials, registry, reports, states, summaries
 from claimwell.plans import rollup, run, stages
-from claimwell.schemas import RAW_CLAIM
+from claimwell.schemas import FILE_KEYS, RAW_CLAIM
 from claimwell.session import shared_folder
-from claimwell.sources import envelope, raw_lines, upkeep
+from claimwell.sources import envelope, evolution, raw_lines, upkeep
 from claimwell.sources import tables as sql_tables
 from claimwell.sources.arrivals import list_arrivals
 from claimwell.sources.claims_csv import FileFormat
@@ -27,6 +28,7 @@ from claimwell.sources.lake import Lake
 from claimwell.sources.sample_tables import SampleTables
 from claimwell.streaming import lineage, records
 from claimwell.streaming import states as state_stream
+from claimwell.streaming.arrivals import ingest
 
 AS_OF = date(2002, 1, 1)
 SALT = "pepper"
@@ -792,3 +794,34 @@ def q59_stream_lineage(spark: SparkSession, folder: str) -> DataFrame:
     both = lineage.runs_of_files(files.select("file_name", "event_id", "ingestion_status", "received_at"), curate)
     plain = {c: F.col(c).cast("timestamp_ntz") for c in ("received_at", "started_at")}
     return spark.read.parquet(_finished(both, "lineage")).withColumns(plain)
+
+
+@registered
+def q60_two_schema_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Claims of two versions of a zone's schema read as one: a wider age and one column more,
+    which only the file that came after the change has."""
+    lake = _whole_run(spark, folder)
+    more = StructType([StructField("claim_age_days", LongType()), StructField("channel", StringType())])
+    evolution.evolve(lake, "transformed_claims", more)
+    again = lake.current("transformed_claims").where("client_code = 'BCBS007'").drop("snapshot_id", "channel")
+    lake.write("transformed_claims", again.withColumn("channel", F.col("payer_id")), "second")
+    files = again.select("source_file", *FILE_KEYS).distinct()
+    lake.publish(["transformed_claims"], files, "second", datetime.now(timezone.utc))
+    found = lake.current("transformed_claims").groupBy("client_code")
+    return found.agg(F.count("*").alias("claims"), F.sum("claim_age_days").alias("age_days"), F.count("channel").alias("with_channel"))
+
+
+@registered
+def q61_stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of all kinds taken in as a stream, some at a time and moved away when they are
+    done, over a stop and a new start: claims and states as of one run over all files."""
+    inbound = _files_of_all_kinds(spark, folder)
+    lake = Lake(spark, f"{shared_folder(spark)}/lake-{uuid4().hex[:8]}")
+    settings = run.RunSettings(as_of=AS_OF, formats=[FileFormat(checksum="crc32-sum")])
+    codes = (SampleTables(spark, folder).cpt_codes(), SampleTables(spark, folder).icd10_codes())
+    for _ in range(2):
+        ingest(lake, inbound, *codes, settings, max_files=12, archive=f"{inbound}-done").awaitTermination()
+    files = registry.current_files(lake.audit("file_events")).select("file_name", "ingestion_status")
+    claims = lake.current("transformed_claims").groupBy(F.col("source_file").alias("file_name"))
+    made = claims.agg(F.count("*").alias("claims"), F.sum("billed_amount").cast("double").alias("billed"))
+    return files.join(made, "file_name", "left")

@@ -470,6 +470,16 @@ _BODIES = {
         where r.run_id is not null
            or f.received_at + interval 1 day <
               (select date_trunc('millisecond', max(started_at)) from runs where pipeline_name = 'claims_curate_job') - interval 1 hour""",
+    "q60_two_schema_versions": f"""select client_code, count(*) as claims, cast(sum(date_diff('day', service_date, date '2002-01-01')) as bigint) as age_days,
+        count(case when client_code = 'BCBS007' then payer_id end) as with_channel
+        from (select {_CLAIM_COLUMNS}, split_part({_RUN_FILE}, '_', 1) as client_code from {_JOINED}) where {_VALID} group by 1""",
+    "q61_stream_ingest": f"""with k as (select o_custkey % 20 as client, count(*) filter (where {_VALID}) as claims,
+            cast(sum(billed_amount) filter (where {_VALID}) as double) as billed
+            from (select {_CLAIM_COLUMNS}, o_custkey from {_JOINED}) group by 1)
+        select {_NAMED.format("001")} as file_name, case when client % 4 > 1 then 'QUARANTINED' else 'CURATED' end as ingestion_status,
+          case when client % 4 < 2 then claims end as claims, case when client % 4 < 2 then billed end as billed from k
+        union all select concat('BCBS004_837P_PROD_20240131_', s, '.csv'), 'CURATED', claims, billed
+        from k cross join (values ('002'), ('003'), ('004')) v(s) where client = 4""",
     "q45_held_claims": """select source_file, count(*) as held_claims, cast(sum(billed_amount) as double) as held_billed
         from filed_keys where client_code is null group by 1""",
 }

@@ -163,6 +163,8 @@ LANDING = _struct(
     "run_id string, source_file string, path string, file_size_bytes bigint, modified_at timestamp,"
     "action string, lines bigint, all_lines bigint, file_hash string, landed_at timestamp"
 )
+# Schemas that a zone got after the declared one, as JSON.
+ZONE_SCHEMA = _struct("zone string, schema_json string, since timestamp")
 # Leaves whose rows are read from a pack, and the times before which reads are refused.
 PACK = _struct("zone string, pack_id string, snapshot_id string, packed_at timestamp," + _FILE)
 EXPIRY = _struct("horizon timestamp, expired_at timestamp")

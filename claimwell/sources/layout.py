@@ -47,10 +47,11 @@ RAW_ZONE = Zone("raw/lines", S.RAW_LINE, (SNAPSHOT_COLUMN,))
 PACKED = "packed"
 
 
-def packed(name: str) -> Zone:
+def packed(name: str, schema: T.StructType) -> Zone:
+    """The packs of a zone of that schema."""
     zone = ZONES[name]
-    keys = [T.StructField(c, T.StringType()) for c in zone.partitions if c not in {f.name for f in zone.schema.fields}]
-    columns = [f for f in T.StructType(zone.schema.fields + keys).fields if f.name != "client_code"]
+    keys = [T.StructField(c, T.StringType()) for c in zone.partitions if c not in {f.name for f in schema.fields}]
+    columns = [f for f in T.StructType(schema.fields + keys).fields if f.name != "client_code"]
     return Zone(f"{PACKED}/{name}", T.StructType(columns), ("pack_id", "client_code", "pack_file"))
 
 
@@ -67,6 +68,7 @@ AUDIT = {
     "arrival_decisions": Zone("audit/arrival_decisions", S.ARRIVAL_DECISION, ("run_id",)),
     "snapshots": Zone("audit/snapshots", S.SNAPSHOT),
     "landings": Zone("audit/landings", S.LANDING, ("run_id",)),
+    "zone_schemas": Zone("audit/zone_schemas", S.ZONE_SCHEMA),
     "packs": Zone("audit/packs", S.PACK),
     "expiries": Zone("audit/expiries", S.EXPIRY),
     "rollups": Zone("audit/rollups", S.ROLLUP),
