@@ -233,33 +233,35 @@ def jaccard_components(
     kind = dict(rows.dtypes)["key"]
 
     def describe(batches: Iterator[dict]) -> Iterator[dict]:
-        for b in batches:
-            found = [shingles(t, words) for t in b["body"]]
-            yield {"key": b["key"], "n": [len(s) for s in found], "class": [_identity(s) for s in found]}
-
-    described = settle(map_batches(rows, describe, f"key {kind}, n int, class bigint"), "shingle-sets")
-
-    def repeated(batches: Iterator[dict]) -> Iterator[dict]:
+        """A row for each text, and one for each first shingle that several classes of a task
+        share, with their number."""
         held, seen = [], set()
 
         def counted() -> dict:
             tokens, times = np.unique(np.concatenate(held or [np.empty(0, np.uint64)]), return_counts=True)
-            return {"token": _signed(tokens[times > 1]), "n": times[times > 1]}
+            tokens, times = _signed(tokens[times > 1]), times[times > 1]
+            none = [None] * len(tokens)
+            held.clear()
+            return {"key": none, "n": none, "class": none, "token": tokens, "times": times}
 
         for b in batches:
-            for text in b["body"]:
-                tokens = shingles(text, words)
-                if len(tokens) and (name := _identity(tokens)) not in seen:
+            found = [shingles(t, words) for t in b["body"]]
+            names = [_identity(s) for s in found]
+            for name, tokens in zip(names, found):
+                if len(tokens) and name not in seen:
                     seen.add(name)
                     held.append(tokens[: prefix_length(len(tokens), similarity)])
+            none = [None] * len(found)
+            yield {"key": b["key"], "n": [len(s) for s in found], "class": names, "token": none, "times": none}
             if sum(map(len, held)) > 4_000_000:
                 yield counted()
-                held.clear()
         yield counted()
 
+    both = settle(map_batches(rows, describe, f"key {kind}, n int, class bigint, token bigint, times bigint"), "shingle-sets")
+    described = both.where("token is null").select("key", "n", "class")
     common = (
-        map_batches(rows, repeated, "token bigint, n bigint")
-        .groupBy("token").agg(F.sum("n").alias("n"))
+        both.where("token is not null")
+        .groupBy("token").agg(F.sum("times").alias("n"))
         .where(F.col("n") >= common_from)
         .orderBy(F.desc("n"), "token").limit(COMMON)
         .collect()  # COMMON rows
