@@ -180,7 +180,9 @@ def trie_links(
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("body"))
+    """The ids, the texts, and a digest that tells rows with one id apart."""
+    body = F.col(text_col)
+    return docs.select(F.col(id_col).alias("key"), body.alias("body"), F.coalesce(F.md5(body), F.lit("")).alias("digest"))
 
 
 def _identity(tokens: np.ndarray) -> int:
@@ -204,8 +206,9 @@ def jaccard_components(
     small: int = SMALL,
     block: int = BLOCK,
 ) -> DataFrame:
-    """(id, n_shingles, component_id) of every row: components of documents whose shingle
-    sets have a Jaccard similarity of `similarity` per cent or more.
+    """(id, n_shingles, component_id, component, text_md5) of every row: components of documents
+    whose shingle sets have a Jaccard similarity of `similarity` per cent or more. `component`
+    tells components apart where ids repeat (NULL: no shingles), `text_md5` their rows.
 
     Shingles are compared by 63-bit hashes. Rows with equal sets are one class, told by a
     64-bit hash of the set and its size. NULL and empty texts, and texts of white space,
@@ -242,7 +245,7 @@ def jaccard_components(
             tokens, times = _signed(tokens[times > 1]), times[times > 1]
             none = [None] * len(tokens)
             held.clear()
-            return {"key": none, "n": none, "class": none, "token": tokens, "times": times}
+            return {"key": none, "digest": none, "n": none, "class": none, "token": tokens, "times": times}
 
         for b in batches:
             found = [shingles(t, words) for t in b["body"]]
@@ -252,13 +255,14 @@ def jaccard_components(
                     seen.add(name)
                     held.append(tokens[: prefix_length(len(tokens), similarity)])
             none = [None] * len(found)
-            yield {"key": b["key"], "n": [len(s) for s in found], "class": names, "token": none, "times": none}
+            sizes = [len(s) for s in found]
+            yield {"key": b["key"], "digest": b["digest"], "n": sizes, "class": names, "token": none, "times": none}
             if sum(map(len, held)) > 4_000_000:
                 yield counted()
         yield counted()
 
-    both = settle(map_batches(rows, describe, f"key {kind}, n int, class bigint, token bigint, times bigint"), "shingle-sets")
-    described = both.where("token is null").select("key", "n", "class")
+    both = settle(map_batches(rows, describe, f"key {kind}, digest string, n int, class bigint, token bigint, times bigint"), "shingle-sets")
+    described = both.where("token is null").select("key", "digest", "n", "class")
     common = (
         both.where("token is not null")
         .groupBy("token").agg(F.sum("times").alias("n"))
@@ -381,11 +385,12 @@ def jaccard_components(
 
     named = classes.join(label, "class", "left").select("class", "key", F.coalesce("label", "class").alias("label"))
     smallest = named.groupBy("label").agg(F.min("key").alias("component_id"))
-    of_class = named.join(smallest, "label").select("class", "component_id")
-    full = described.where("n > 0").join(of_class, "class").select("key", "n", "component_id")
-    bare = described.where("n = 0").select("key", "n", F.col("key").alias("component_id"))
+    of_class = named.join(smallest, "label").select("class", "component_id", "label")
+    full = described.where("n > 0").join(of_class, "class").select("key", "n", "component_id", "label", "digest")
+    bare = described.where("n = 0").select("key", "n", F.col("key").alias("component_id"), F.lit(None).cast("bigint").alias("label"), "digest")
     return full.unionByName(bare).select(
-        F.col("key").alias(id_col), F.col("n").cast("bigint").alias("n_shingles"), "component_id"
+        F.col("key").alias(id_col), F.col("n").cast("bigint").alias("n_shingles"), "component_id",
+        F.col("label").alias("component"), F.col("digest").alias("text_md5"),
     )
 
 
