@@ -17,8 +17,14 @@ GRAMS = (1, 2, 3)
 CENTROIDS = 4
 #: Expected number of learning texts of a language of which the clusters are made.
 SAMPLE = 1200
-#: A text further from every centroid than this share of the usual nearness is rejected.
-NEARNESS = 0.25
+#: A text is rejected below FLOOR times the cosine that all but the LOW share of its language's
+#: learning texts of its class reach. Classes are of the number of different n-grams, two for each
+#: doubling, so a short text that is repeated is judged as a short one.
+LOW, FLOOR = 0.01, 0.75
+CLASSES = 25
+#: A class with fewer learning texts takes the floor of the one below. If all below have fewer
+#: too, the floor is the share NEARNESS of the language's median cosine.
+ENOUGH, NEARNESS = 30, 0.25
 
 _LETTER: list[np.ndarray] = []
 
@@ -62,7 +68,7 @@ def counts(text: str | None, dimensions: int = DIMENSIONS) -> np.ndarray | None:
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """`centroids` are unit rows, `owners` their languages, `floors` the least cosine."""
+    """`centroids` are unit rows, `owners` their languages, `floors` the least cosines of a row by class."""
 
     weights: np.ndarray
     centroids: np.ndarray
@@ -83,10 +89,26 @@ class LanguageModel:
                 k, cosine = best.get(i, (None, 0.0))
                 langs.append("und" if k is None else self.owners[k])
                 scores.append(min(max(cosine, 0.0), 1.0))
-                rejected.append(k is None or cosine < self.floors[k])
+                rejected.append(k is None or cosine < self.floors[k][text_class(found[i])])
         return langs, scores, rejected
 
 
+def text_class(counted: np.ndarray) -> int:
+    """floor(2 log2 n) for n different n-grams."""
+    return min((int(np.count_nonzero(counted)) ** 2).bit_length(), CLASSES) - 1
+
+
+def floors_by_class(near: np.ndarray, classes: np.ndarray, nearness: float = NEARNESS) -> np.ndarray:
+    """The least cosine of each class, from the cosines and classes of learning texts."""
+    floors, last = np.zeros(CLASSES), nearness * float(np.median(near))
+    for c in range(CLASSES):
+        own = near[classes == c]
+        if len(own) >= ENOUGH:
+            last = FLOOR * float(np.quantile(own, LOW))
+        floors[c] = last
+    return floors
+
+
 def vectors(counted: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Unit rows of damped counts times inverse document frequency."""
     rows = (np.log1p(counted) * weights).astype(np.float32)
@@ -121,8 +143,8 @@ def fit(
     """Learn from the rows with text and language; others are passed over.
 
     Document frequencies are counted over all these rows. The clusters of a language are
-    made of about `sample` of its texts, taken by a hash of the id (all, if it has fewer);
-    the number of languages has to be small. No rows give a model that says `und`.
+    made of about `sample` of its texts, taken by a hash of id and text (all, if it has fewer),
+    and so are the floors; the number of languages has to be small. No rows give a model that says `und`.
     """
     rows = learn.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(id_col).cast("string").alias("key"), F.col(text_col).alias("body"), F.col(lang_col).cast("string").alias("label")
@@ -145,7 +167,7 @@ def fit(
 
     sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     parts = 1 << 20
-    share = F.pmod(F.xxhash64("key", F.lit("language sample")), F.lit(parts))
+    share = F.pmod(F.xxhash64("key", "body", F.lit("language sample")), F.lit(parts))
     limits = {lang: min(parts, max(1, sample * parts // n)) for lang, n in sizes.items()}
     limit = F.lit(0)
     for lang, most in limits.items():
@@ -154,18 +176,19 @@ def fit(
     def cluster(pdf):
         import pandas as pd
 
-        table = [c for c in (counts(t, dimensions) for t in pdf.sort_values("key")["body"]) if c is not None]
+        table = [c for c in (counts(t, dimensions) for t in pdf.sort_values(["key", "body"])["body"]) if c is not None]
         if not table:
-            return pd.DataFrame({"label": [], "centre": [], "floor": []})
+            return pd.DataFrame({"label": [], "centre": [], "floors": []})
         centres, near = _clusters(vectors(np.stack(table), weights), min(k, len(table)))
+        floors = floors_by_class(near, np.array([text_class(c) for c in table]), nearness).tolist()
         return pd.DataFrame(
-            {"label": pdf["label"].iloc[0], "centre": [c.tolist() for c in centres], "floor": nearness * float(np.median(near))}
+            {"label": pdf["label"].iloc[0], "centre": [c.tolist() for c in centres], "floors": [floors] * len(centres)}
         )
 
     made = (
         rows.where(share < limit)
         .groupBy("label")
-        .applyInPandas(cluster, "label string, centre array<float>, floor double")
+        .applyInPandas(cluster, "label string, centre array<float>, floors array<double>")
         .collect()  # k rows for each language
     )
     made.sort(key=lambda r: (r["label"], list(r["centre"])))
@@ -173,7 +196,7 @@ def fit(
         weights,
         np.array([r["centre"] for r in made], np.float32).reshape(len(made), dimensions),
         [r["label"] for r in made],
-        np.array([r["floor"] for r in made]),
+        np.array([r["floors"] for r in made]).reshape(len(made), CLASSES),
     )
 
 
@@ -182,7 +205,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
 
     `score` is the cosine to the nearest centroid, in 0 to 1; of equally near ones the
     first language counts. A text without a letter (or NULL) is `und`, 0 and rejected; a
-    text below the centroid's floor is rejected but keeps its nearest language. The model
+    text below the centroid's floor for its class is rejected but keeps its nearest language. The model
     (some centroids) travels with the tasks.
     """
     rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("body"))
