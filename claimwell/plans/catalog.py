@@ -16,7 +16,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from claimwell.functions import filenames, masking, quality
 from claimwell.operators import compare, dedupe, enrich, partials, registry, reports, states, summaries
-from claimwell.plans import rollup, run, stages
+from claimwell.plans import corrections, rollup, run, stages
 from claimwell.schemas import FILE_KEYS, RAW_CLAIM
 from claimwell.session import shared_folder
 from claimwell.sources import envelope, evolution, raw_lines, upkeep
@@ -825,3 +825,27 @@ def q61_stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     claims = lake.current("transformed_claims").groupBy(F.col("source_file").alias("file_name"))
     made = claims.agg(F.count("*").alias("claims"), F.sum("billed_amount").cast("double").alias("billed"))
     return files.join(made, "file_name", "left")
+
+
+@registered
+def q62_corrected_claims(spark: SparkSession, folder: str) -> DataFrame:
+    """Provider summaries after corrections: claims of two clients get another amount and payer
+    or are taken out, an older correction of them and one of a third client do not count; which
+    clients' files were written again."""
+    lake = _whole_run(spark, folder)
+    tables = SampleTables(spark, folder)
+    claims = tables.claims("o_custkey % 20 AS client").where("client IN (3, 7) AND place_of_service IN (23, 31) OR client = 9 AND place_of_service = 23")
+    sent = claims.selectExpr(
+        "concat('BCBS', lpad(cast(client AS string), 3, '0')) AS client_code", "claim_id", "place_of_service = 31 AS deleted",
+        "timestamp '2024-03-01' AS corrected_at", "CASE WHEN client = 9 THEN 0 ELSE billed_amount + 1000 END AS billed_amount", "'P99' AS payer_id",
+    )
+    older = sent.where("NOT deleted").withColumns({"corrected_at": F.expr("timestamp '2024-02-01'"), "payer_id": F.lit("P98")})
+    codes = (tables.cpt_codes(), tables.icd10_codes())
+    corrections.correct(lake, sent.unionByName(older), *codes, run.RunSettings(as_of=AS_OF))
+    found = lake.current("provider_summary").groupBy("client_code").agg(
+        F.count("*").alias("providers"), F.sum("total_claims").alias("claims"), F.sum("total_billed").cast("double").alias("total_billed")
+    )
+    payers = lake.current("payer_summary").groupBy("client_code").agg(F.count("*").alias("payers"))
+    published = lake.audit("snapshots").where("zone = 'checked_claims'").groupBy("client_code")
+    written = published.agg((F.countDistinct("snapshot_id") > 1).alias("written_again"))
+    return found.join(payers, "client_code").join(written, "client_code")

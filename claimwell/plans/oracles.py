@@ -480,6 +480,14 @@ _BODIES = {
           case when client % 4 < 2 then claims end as claims, case when client % 4 < 2 then billed end as billed from k
         union all select concat('BCBS004_837P_PROD_20240131_', s, '.csv'), 'CURATED', claims, billed
         from k cross join (values ('002'), ('003'), ('004')) v(s) where client = 4""",
+    "q62_corrected_claims": f"""select client_code, count(distinct provider_npi) as providers, count(claim_id) as claims,
+        cast(sum(amount) as double) as total_billed, count(distinct payer) as payers, client in (3, 7) as written_again
+        from (select split_part(source_file, '_', 1) as client_code, client, provider_npi, claim_id,
+                case when client in (3, 7) and place_of_service = 23 then 'P99' else payer_id end as payer,
+                case when client in (3, 7) and place_of_service = 23 then newest + 1000 else billed_amount end as amount
+              from (select *, max(billed_amount) over (partition by claim_id) as newest
+                    from (select {_CLAIM_COLUMNS}, o_custkey % 20 as client, {_RUN_FILE} as source_file from {_JOINED}))
+              where {_VALID} and (client in (3, 7) and place_of_service = 31) is not true) group by client_code, client""",
     "q45_held_claims": """select source_file, count(*) as held_claims, cast(sum(billed_amount) as double) as held_billed
         from filed_keys where client_code is null group by 1""",
 }

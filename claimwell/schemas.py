@@ -41,6 +41,7 @@ _TYPES = {
     "int": T.IntegerType(),
     "bigint": T.LongType(),
     "double": T.DoubleType(),
+    "binary": T.BinaryType(),
     "boolean": T.BooleanType(),
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
@@ -167,6 +168,10 @@ LANDING = _struct(
 ZONE_SCHEMA = _struct("zone string, schema_json string, since timestamp")
 # Leaves whose rows are read from a pack, and the times before which reads are refused.
 PACK = _struct("zone string, pack_id string, snapshot_id string, packed_at timestamp," + _FILE)
+# Which claims the parts of a leaf may hold: see plans/corrections.py.
+KEY_INDEX = _struct(
+    "snapshot_id string, key_group int, part int, parts int, least string, greatest string, bitmap binary," + _FILE
+)
 EXPIRY = _struct("horizon timestamp, expired_at timestamp")
 SNAPSHOT = _struct(
     "zone string, snapshot_id string, published_at timestamp, source_file string, row_count bigint,"

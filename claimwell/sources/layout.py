@@ -71,6 +71,7 @@ AUDIT = {
     "zone_schemas": Zone("audit/zone_schemas", S.ZONE_SCHEMA),
     "packs": Zone("audit/packs", S.PACK),
     "expiries": Zone("audit/expiries", S.EXPIRY),
+    "key_index": Zone("audit/key_index", S.KEY_INDEX, ("client_code",)),
     "rollups": Zone("audit/rollups", S.ROLLUP),
     "source_systems": Zone("audit/source_systems", S.SOURCE_SYSTEM),
 }
