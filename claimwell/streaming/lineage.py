@@ -65,6 +65,13 @@ def follow(
     schema, time, range_ = both.schema, F.coalesce(at, started), F.expr(f"INTERVAL {within}")
 
     def handle(batch: DataFrame, number: int) -> None:
+        batch.persist()  # it is read four times
+        try:
+            take(batch, number)
+        finally:
+            batch.unpersist()
+
+    def take(batch: DataFrame, number: int) -> None:
         def store(rows: DataFrame, name: str) -> None:
             rows.write.mode("overwrite").parquet(f"{root}/{name}/batch={number}")
 
